@@ -17,8 +17,15 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(_read(spark, sf_dir, "documents"))
 
 
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.simhash_dedup import groups
+
+    return groups(_read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op7_simhash_dedup": op7_simhash_dedup,
 }
 
 ORACLES: dict[str, str] = {}
