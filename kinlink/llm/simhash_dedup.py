@@ -38,7 +38,8 @@ WIDTH = 4
 RADIUS = 4
 LEAF_LIMIT = 4096
 BRUTE = 64  # node pairs with so few leaf pairs are compared leaf by leaf
-SLICE = 1 << 20
+SLICE = 1 << 18
+FRONTIER = 1 << 14
 SEEDS = 4
 SHINGLE = 5
 CHECK_RADIUS = 13
@@ -156,70 +157,87 @@ def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def trie_pairs(keys: np.ndarray, low_bits: int, starts: np.ndarray, middles: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within the radius, from the tries of many units at once.
+def join_tries(keys: np.ndarray, low_bits: int, starts: np.ndarray, middles: np.ndarray, ends: np.ndarray, radius: int, check: np.ndarray, check_radius: int) -> np.ndarray:
+    """A label for each index, equal for the indices that links within a unit connect, from the tries of many units at once.
 
-    ``keys`` ascend within [start, middle) and within [middle, end) of a unit and hold the unit's
-    number above ``low_bits`` bits. If middle == end the unit joins one trie with itself, else its two tries.
+    ``keys`` ascend within [start, middle) and within [middle, end) of a unit and hold the unit's number above ``low_bits`` bits. If
+    middle == end the unit joins one trie with itself, else its two tries. The walk takes ``FRONTIER`` node pairs at a time, deepest and
+    nearest first, and drops pairs whose leaves are connected already, so a dense group costs neither memory nor all its pairs.
     """
+    label = np.arange(len(keys))
     selfs = middles == ends
-    a_lo, a_hi = starts.copy(), middles.copy()
-    b_lo, b_hi = np.where(selfs, starts, middles), ends.copy()
-    err = np.zeros(len(starts), dtype=np.int8)
-    depth = 0
-    while len(a_lo):
-        few = ((a_hi - a_lo) * (b_hi - b_lo) <= BRUTE) | (depth >= low_bits)
+    todo = [(0, starts, middles, np.where(selfs, starts, middles), ends, np.zeros(len(starts), dtype=np.int8))]
+    runs = np.arange(len(keys))
+    while todo:
+        depth, a_lo, a_hi, b_lo, b_hi, err = todo.pop()
+        if len(a_lo) > FRONTIER:
+            order = np.argsort(-err, kind="stable")
+            a_lo, a_hi, b_lo, b_hi, err = (x[order] for x in (a_lo, a_hi, b_lo, b_hi, err))
+            todo += [(depth, *(x[i : i + FRONTIER] for x in (a_lo, a_hi, b_lo, b_hi, err))) for i in range(0, len(a_lo), FRONTIER)]
+            continue
+        tied = (runs[a_lo] == runs[a_hi - 1]) & (runs[b_lo] == runs[b_hi - 1]) & (label[a_lo] == label[b_lo])
+        few = (((a_hi - a_lo) * (b_hi - b_lo) <= BRUTE) | (depth >= low_bits)) & ~tied
         if few.any():
-            la, na, lb, nb = a_lo[few], (a_hi - a_lo)[few], b_lo[few], (b_hi - b_lo)[few]
-            size = na * nb
-            cut = np.searchsorted(np.cumsum(size), np.arange(SLICE, size.sum() + SLICE, SLICE))
-            for i, j in zip([0, *(cut[:-1] + 1)], cut + 1, strict=True):
-                if i >= len(size):
-                    break
-                s = size[i:j]
-                left = np.repeat(_ranges(la[i:j], na[i:j]), np.repeat(nb[i:j], na[i:j]))
-                within = _ranges(np.zeros(len(s), dtype=np.int64), s)
-                right = np.repeat(lb[i:j], s) + within % np.repeat(nb[i:j], s)
-                near = (np.bitwise_count(keys[left] ^ keys[right]) <= radius) & (left < right)
-                yield left[near], right[near]
-            many = ~few
-            a_lo, a_hi, b_lo, b_hi, err = a_lo[many], a_hi[many], b_lo[many], b_hi[many], err[many]
+            fresh = _leaf_links(keys, a_lo[few], a_hi[few], b_lo[few], b_hi[few], radius, check, check_radius, label)
+            if fresh is not label:
+                label = fresh
+                runs = np.r_[0, np.cumsum(label[1:] != label[:-1])]
+        many = ~few & ~tied
+        a_lo, a_hi, b_lo, b_hi, err = a_lo[many], a_hi[many], b_lo[many], b_hi[many], err[many]
         if not len(a_lo):
-            return
+            continue
         bit = np.uint64(1 << (low_bits - 1 - depth))
         above = ~np.uint64((1 << (low_bits - depth)) - 1)
-
-        def middle(lo: np.ndarray, hi: np.ndarray, bit: np.uint64 = bit, above: np.uint64 = above) -> np.ndarray:
-            """Where the 1-child begins: a binary search in all nodes at once."""
-            goal = (keys[lo] & above) | bit
-            l, h = lo.copy(), hi.copy()
-            while (l < h).any():
-                m = (l + h) >> 1
-                up = (l < h) & (keys[np.minimum(m, len(keys) - 1)] < goal)
-                l, h = np.where(up, m + 1, l), np.where(up | (l >= h), h, m)
-            return l
-
-        a_mid, b_mid = middle(a_lo, a_hi), middle(b_lo, b_hi)
+        a_mid, b_mid = _child(keys, a_lo, a_hi, bit, above), _child(keys, b_lo, b_hi, bit, above)
         same = (a_lo == b_lo) & (a_hi == b_hi)
-        parts = [
+        kept = []
+        for al, ah, bl, bh, e, skip in (
+            (a_lo, a_mid, b_mid, b_hi, err + 1, None),
+            (a_mid, a_hi, b_lo, b_mid, err + 1, same),
             (a_lo, a_mid, b_lo, b_mid, err, None),
             (a_mid, a_hi, b_mid, b_hi, err, None),
-            (a_lo, a_mid, b_mid, b_hi, err + 1, None),
-            (a_mid, a_hi, b_lo, b_mid, err + 1, ~same),
-        ]
-        kept = []
-        for al, ah, bl, bh, e, extra in parts:
+        ):
             ok = (al < ah) & (bl < bh) & (e <= radius)
-            if extra is not None:
-                ok &= extra
+            if skip is not None:
+                ok &= ~skip
             kept.append((al[ok], ah[ok], bl[ok], bh[ok], e[ok].astype(np.int8)))
-        a_lo, a_hi, b_lo, b_hi, err = (np.concatenate(x) for x in zip(*kept, strict=True))
-        depth += 1
+        todo.append((depth + 1, *(np.concatenate(x) for x in zip(*kept, strict=True))))
+    return label
+
+
+def _child(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64, above: np.uint64) -> np.ndarray:
+    """Where the 1-child of each node begins: a binary search in all nodes at once."""
+    goal = (keys[lo] & above) | bit
+    lo, hi = lo.copy(), hi.copy()
+    while (lo < hi).any():
+        m = (lo + hi) >> 1
+        up = (lo < hi) & (keys[np.minimum(m, len(keys) - 1)] < goal)
+        lo, hi = np.where(up, m + 1, lo), np.where(up | (lo >= hi), hi, m)
+    return lo
+
+
+def _leaf_links(keys: np.ndarray, a_lo: np.ndarray, a_hi: np.ndarray, b_lo: np.ndarray, b_hi: np.ndarray, radius: int, check: np.ndarray, check_radius: int, label: np.ndarray) -> np.ndarray:
+    """``label`` after comparing all leaves of each node pair, ``SLICE`` comparisons at a time."""
+    na, nb = a_hi - a_lo, b_hi - b_lo
+    total = np.cumsum(na * nb)
+    at = 0
+    while at < len(na):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE, side="right")))
+        n, m = na[at:to], nb[at:to]
+        left = np.repeat(_ranges(a_lo[at:to], n), np.repeat(m, n))
+        right = np.repeat(b_lo[at:to], n * m) + _ranges(np.zeros(len(n), dtype=np.int64), n * m) % np.repeat(m, n * m)
+        near = (left < right) & (np.bitwise_count(keys[left] ^ keys[right]) <= radius)
+        left, right = left[near], right[near]
+        near = np.bitwise_count(check[left] ^ check[right]) <= check_radius
+        if near.any():
+            label = forest(len(keys), left[near], right[near], label)
+        at = to
+    return label
 
 
 def forest(n: int, left: np.ndarray, right: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
     """The smallest index of each index's component, by hooking and pointer jumping."""
-    label = np.arange(n) if label is None else label
+    label = np.arange(n) if label is None else label.copy()
     while len(left):
         a, b = label[left], label[right]
         open_ = a != b
@@ -251,10 +269,7 @@ def _unit_links(rows: dict[str, np.ndarray], blocks: int, radius: int, check_rad
     ends = np.r_[starts[1:], len(unit)]
     two = np.add.reduceat(side, starts)
     middles = np.where(two == 0, ends, ends - two)
-    label = np.arange(len(node))
-    for a, b in trie_pairs(keys, low_bits, starts, middles, ends, radius):
-        good = np.bitwise_count(check[a] ^ check[b]) <= check_radius
-        label = forest(len(node), a[good], b[good], label)
+    label = join_tries(keys, low_bits, starts, middles, ends, radius, check, check_radius)
     tied = np.flatnonzero(label != np.arange(len(node)))
     return node[tied], node[label[tied]]
 
