@@ -7,7 +7,8 @@ above its cap. Each round needs two sums over the table of sources, so only scal
 A source whose target is r times its size repeats every document floor(r) times; the rest is filled with
 documents in the order of a seeded digest. Sizes are first summed by (source, leading digits of the digest),
 so only the one slice where the target is met is ranked row by row: a source with a third of all rows costs
-no more than any other.
+no more than any other. Then, ``MENDS`` times, each source swaps in or out the one document that brings it
+nearest to its target.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ MAX_EPOCHS = 3
 CYCLE = 3
 SEED = 17
 SLICE_DIGITS = 3
+MENDS = 2
 
 
 def word_count(text: Column) -> Column:
@@ -76,7 +78,28 @@ def repetitions(sized: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("below")
     ranked = rows.where("met").withColumn("extra", (before + F.col("size") / 2 <= F.col("rest")).cast("bigint"))
     clear = rows.where("not met").withColumn("extra", (F.col("below") < F.col("rest")).cast("bigint"))
-    return clear.unionByName(ranked).withColumn("repeats", F.col("whole") + F.col("extra")).drop("draw", "slice", "below", "whole", "rest", "met", "extra")
+    fields = ["doc_id", "source", "size", "source_size", "target", "whole", "rest", "draw", "extra"]
+    taken = materialize(clear.unionByName(ranked).select(*fields), "taken")
+    for k in range(MENDS):
+        taken = materialize(_mended(taken).select(*fields), f"mended-{k}")
+    return taken.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("extra")).alias("repeats"))
+
+
+def _mended(taken: DataFrame) -> DataFrame:
+    """Add or take back, in each source, the one document whose size comes nearest to what is missing or too much, if that helps.
+
+    One minimum for each source is aggregated. Rows that repeat an id and a size are added or taken back together.
+    """
+    source = lambda a, b: a["source"].eqNullSafe(b["source"])
+    gaps = materialize(taken.groupBy("source").agg((F.first("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap")), "gaps")
+    rows = taken.join(gaps, source(taken, gaps)).drop(gaps["source"])
+    off = F.when((F.col("gap") > 0) & (F.col("extra") == 0), F.abs(F.col("gap") - F.col("size"))).when((F.col("gap") < 0) & (F.col("extra") == 1), F.abs(F.col("gap") + F.col("size")))
+    choices = rows.withColumn("off", F.round(off, 6)).where("size > 0 and off < abs(gap)")
+    best = choices.groupBy("source").agg(F.min(F.struct("off", "draw", "size", "doc_id")).alias("b"))
+    best = materialize(best.select("source", F.col("b.draw").alias("b_draw"), F.col("b.size").alias("b_size")), "best")
+    hit = F.coalesce((F.col("draw") == F.col("b_draw")) & (F.col("size") == F.col("b_size")), F.lit(False))
+    met = rows.join(best, source(rows, best), "left").drop(best["source"])
+    return met.withColumn("extra", F.when(hit, 1 - F.col("extra")).otherwise(F.col("extra")))
 
 
 def mix_report(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
@@ -108,29 +131,46 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> Data
     return kept.select(*own, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("repetition"))
 
 
-MIX_ORACLE = r"""
+_MEND = """
+g{n} as (select source, any_value(rest) - sum(size * extra) as gap from d{m} group by source),
+c{n} as (
+  select d.*, gap, round(case when gap > 0 and extra = 0 then abs(gap - size) when gap < 0 and extra = 1 then abs(gap + size) end, 6) as off
+  from d{m} d join g{n} g on d.source is not distinct from g.source),
+b{n} as (
+  select source, draw as b_draw, size as b_size from c{n} where size > 0 and off < abs(gap)
+  qualify row_number() over (partition by source order by off, draw, size, doc_id) = 1),
+d{n} as (
+  select d.doc_id, d.source, size, source_size, target, whole, rest, draw,
+         case when draw = b_draw and size = b_size then 1 - extra else extra end as extra
+  from d{m} d left join b{n} b on d.source is not distinct from b.source)"""
+
+MIX_ORACLE = (
+    r"""
 with s as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
          md5('17|' || coalesce(cast(doc_id as varchar), '')) as draw
   from documents),
 src as (
-  select source, cast(sum(size) as bigint) as source_size, 3.0 * sum(size) as cap,
+  select source, cast(sum(size) as bigint) as source_size, cast(3 * sum(size) as double) as cap,
          (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight
   from s group by source),
 levels as (
-  select *, (sum(source_size) over () - coalesce(sum(cap) over (order by cap / weight, source rows between unbounded preceding and 1 preceding), 0))
-            / sum(weight) over (order by cap / weight, source rows between current row and unbounded following) as level
-  from src),
-lv as (select min(level) filter (where cap >= level * weight) as level from (
-  select *, row_number() over (order by cap / weight, source) as k from levels) where cap >= level * weight),
+  select cap, weight, row_number() over k as k,
+         (sum(source_size) over () - coalesce(sum(cap) over (k rows between unbounded preceding and 1 preceding), 0))
+         / sum(weight) over (k rows between current row and unbounded following) as level
+  from src window k as (order by cap / weight, source)),
+lv as (select cast(level as double) as level from levels where cap >= level * weight order by k limit 1),
 t as (
-  select source, source_size, round(least(cast(cap as double), weight * cast(lv.level as double)), 6) as target from src, lv),
+  select source, source_size, least(cap, weight * lv.level) as exact, round(least(cap, weight * lv.level), 6) as target from src, lv),
 r as (
-  select *, case when source_size = 0 then 0 else floor(target / source_size) end as whole from t),
+  select *, case when source_size = 0 then 0 else cast(floor(exact / source_size) as bigint) end as whole from t),
 d as (
-  select s.doc_id, s.size, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size as rest,
+  select s.doc_id, s.source, s.size, s.draw, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size as rest,
          coalesce(sum(s.size) over (partition by s.source order by s.draw, s.size, s.doc_id rows between unbounded preceding and 1 preceding), 0) as before
-  from s join r on s.source is not distinct from r.source)
-select doc_id, size, source_size, target, cast((whole + case when before + size / 2.0 <= rest and before < rest then 1 else 0 end) * size as bigint) as taken
-from d
+  from s join r on s.source is not distinct from r.source),
+d0 as (select *, case when before + size / 2.0 <= rest and before < rest then 1 else 0 end as extra from d),"""
+    + ",".join(_MEND.format(n=n, m=n - 1) for n in range(1, MENDS + 1))
+    + f"""
+select doc_id, size, source_size, target, cast((whole + extra) * size as bigint) as taken from d{MENDS}
 """
+)
