@@ -36,9 +36,18 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/kinlink-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def sized(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """``df``, of narrow rows and about so many of them, in as many partitions as they need rather than one for each shuffle partition."""
+    return df.coalesce(rows // per_task + 1)
+
+
+def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``rows``: about how many narrow rows there are, if known, so that a small table isn't scattered over many files.
+    """
     path = fresh_path(df.sparkSession, label)
+    df = df if rows is None else sized(df, rows)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import materialize, small_batches
+from kinlink.llm.common import materialize, sized, small_batches
 
 SEED = 42
 WIDTH = 4
@@ -325,7 +325,8 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
 
     Only minima are aggregated, never lists, so a hub's many links are joined, not collected; each round is written to the shared folder.
     """
-    now = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), label)
+    pairs = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v"), label)
+    now = materialize(pairs.distinct(), label, pairs.count())
     mark = None
     while True:
         seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
@@ -337,7 +338,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
-        now = materialize(small, label)
+        now = materialize(small, label, 2 * seen["n"])
 
 
 def _hex(value: Column) -> Column:
@@ -351,13 +352,14 @@ def groups(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH) -> DataFra
     kept and share their group, an empty table gives an empty result, other columns are ignored.
     """
     prints = materialize(fingerprint_documents(docs, width=width), "simhash")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    n = prints.count()
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints", n)
     nodes = distinct.select(F.lit(0).alias("seed"), "fp", F.col("fp").alias("node"), F.lit(0).cast("bigint").alias("check"))
     roots = components(trie_links(nodes, radius), "stars")
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id")
+    classes = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "classes", n)
+    return sized(prints.join(classes, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id"), n)
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -382,12 +384,12 @@ def keep_one_of_each(docs: DataFrame, radius: int = RADIUS, check_radius: int =
     """
     made = materialize(sketch_documents(docs), "sketches")
     own = [f"f{i}" for i in range(SEEDS)]
-    classes = materialize(made.where("doc_id is not null").groupBy(*own, "check").agg(F.min("doc_id").alias("node")), "copies")
+    classes = materialize(made.where("doc_id is not null").groupBy(*own, "check").agg(F.min("doc_id").alias("node")), "copies", made.count())
     seeds = F.explode(F.array(*(F.struct(F.lit(i).alias("seed"), F.col(f).alias("fp")) for i, f in enumerate(own))))
     nodes = classes.select("node", "check", seeds.alias("s")).select("s.seed", "s.fp", "node", "check")
     roots = components(trie_links(nodes, radius, check_radius=check_radius), "near-copies")
     kept = classes.select("node").join(roots.where("node <> root"), "node", "left_anti")
-    kept = materialize(kept.select(F.col("node").alias("doc_id")), "kept")
+    kept = materialize(kept.select(F.col("node").alias("doc_id")), "kept", classes.count())
     stay = docs.join(kept, "doc_id", "left_semi")
     if made.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         stay = stay.dropDuplicates(["doc_id"])
