@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from kinlink.llm.mixing import MIX_ORACLE
+
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -17,6 +19,30 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_report(_read(spark, sf_dir, "documents"))
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.chat import expand, read_back
+
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    return read_back(expand(turns.unionByName(extra)), ordered=True)
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.mixing import mix_report
+
+    return mix_report(_read(spark, sf_dir, "documents"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from kinlink.llm.common import fresh_path
+    from kinlink.llm.token_cache import count_tokens
+
+    return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), fresh_path(spark, "token-cache"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinlink.llm.simhash_dedup import groups
 
@@ -25,7 +51,12 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_chat_formatting": op2_chat_formatting,
+    "op4_mixing": op4_mixing,
+    "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_mixing": MIX_ORACLE,
+}
