@@ -49,12 +49,27 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups(_read(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.common import fresh_path
+    from kinlink.llm.warc import read_archives, write_archives
+
+    return read_archives(write_archives(_read(spark, sf_dir, "pages"), fresh_path(spark, "warc")))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.url_filter import judge
+
+    return judge(_read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_formatting": op2_chat_formatting,
     "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
+    "op8_warc": op8_warc,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLES: dict[str, str] = {
