@@ -28,6 +28,12 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(expand(turns.unionByName(extra)), ordered=True)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.line_crf import quality_report
+
+    return quality_report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinlink.llm.mixing import mix_report
 
@@ -65,6 +71,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_formatting": op2_chat_formatting,
+    "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
