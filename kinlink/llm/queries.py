@@ -49,6 +49,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), fresh_path(spark, "token-cache"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.licenses import licence_hits
+
+    return licence_hits(_read(spark, sf_dir, "documents"))
+
+
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from kinlink.llm.simhash_dedup import groups
 
@@ -68,15 +74,23 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_read(spark, sf_dir, "pages"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from kinlink.llm.decontaminate import contaminated
+
+    return contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_token_counts": op5_token_counts,
+    "op6_license_scan": op6_license_scan,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_warc": op8_warc,
     "op9_url_filter": op9_url_filter,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
