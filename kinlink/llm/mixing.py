@@ -125,7 +125,8 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> Data
         numbered = numbered.withColumn("_at", F.row_number().over(w))
     else:
         numbered = numbered.withColumn("_at", F.lit(1))
-    joined = numbered.join(plan, numbered["doc_id"].eqNullSafe(plan["doc_id"]) & numbered["source"].eqNullSafe(plan["source"]) & (numbered["_size"] == plan["size"]))
+    # one plan at every size: texts are dealt out by id, and the plan is never sent whole to all machines
+    joined = numbered.join(plan.hint("merge"), numbered["doc_id"].eqNullSafe(plan["doc_id"]) & numbered["source"].eqNullSafe(plan["source"]) & (numbered["_size"] == plan["size"]))
     times = F.expr("repeats[_at - 1]")
     kept = joined.select(*(numbered[c] for c in own), times.cast("int").alias("_n")).where("_n > 0")
     return kept.select(*own, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("repetition"))

@@ -390,7 +390,8 @@ def keep_one_of_each(docs: DataFrame, radius: int = RADIUS, check_radius: int =
     roots = components(trie_links(nodes, radius, check_radius=check_radius), "near-copies")
     kept = classes.select("node").join(roots.where("node <> root"), "node", "left_anti")
     kept = materialize(kept.select(F.col("node").alias("doc_id")), "kept", classes.count())
-    stay = docs.join(kept, "doc_id", "left_semi")
+    # one plan at every size: texts are dealt out by id, and ids are never sent whole to all machines
+    stay = docs.join(kept.hint("merge"), "doc_id", "left_semi")
     if made.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
         stay = stay.dropDuplicates(["doc_id"])
     return stay.unionByName(docs.where("doc_id is null"))
