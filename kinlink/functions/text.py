@@ -40,14 +40,13 @@ WORD = r"\p{L}\p{N}_"
 _FORMS = "|".join(LEGAL_FORMS)
 
 
-@F.pandas_udf("string")
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
 def nfkc(c: Column) -> Column:
     """Unicode NFKC; texts of safe characters never reach Python as more than a null."""
-    return F.coalesce(_nfkc(F.when(~c.rlike(NFKC_SAFE), c)), c)
+    return F.coalesce(F.pandas_udf(_nfkc, "string")(F.when(~c.rlike(NFKC_SAFE), c)), c)
 
 
 def collapse(c: Column) -> Column:

@@ -1,11 +1,7 @@
 """All registered queries of the entity-resolution engine and their SQL twins."""
 
-from __future__ import annotations
+from kinlink.plans.queries import ORACLES, QUERIES
 
-from collections.abc import Callable
+FLAGSHIP = "recall_token_sort"
 
-from pyspark.sql import DataFrame, SparkSession
-
-FLAGSHIP = "recall_s1_s2"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
