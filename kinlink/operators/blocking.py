@@ -108,7 +108,7 @@ def _index_top(lefts: DataFrame, rights: DataFrame, k: int) -> DataFrame:
     weight = table.column("w").to_numpy()
     order = np.argsort(gram, kind="stable")
     names, starts = np.unique(gram[order], return_index=True)
-    ends = np.r_[starts[1:], len(order)]
+    ends = np.r_[starts[1:], len(order)][: len(starts)]
     index = {g: (s, e) for g, s, e in zip(names, starts, ends, strict=True)}
     row, weight = row[order].astype(np.int32), weight[order]
     schema = pa.schema([(LEFT, pa.string()), (RIGHT, pa.string()), ("score", pa.float64())])
