@@ -179,7 +179,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT
             files.append((path, n, size))
         yield pa.RecordBatch.from_arrays([pa.array([f"{folder.rstrip('/')}/{f[0]}" for f in files], pa.string()), *(pa.array([f[i] for f in files], pa.int64()) for i in (1, 2))], schema=MANIFEST)
 
-    return materialize(with_record_types(pages, min_revisit).mapInArrow(run, MANIFEST_DDL), "warc-manifest", 1)
+    return materialize(with_record_types(pages, min_revisit).mapInArrow(run, MANIFEST_DDL), "warc-manifest")
 
 
 RECORDS = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
