@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import materialize, small_batches
+from kinlink.llm.common import free_name, materialize, small_batches
 
 SAMPLE = 1500
 SAMPLE_BYTES = 1 << 15
@@ -225,29 +225,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
     return fit(documents, np.array([r["y"] for r in got], dtype=np.int64), (rates.get(0, 0), rates.get(1, 0)))
 
 
-def score_texts(docs: DataFrame, model: LineCrf, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` and ``_score`` of every row; null text counts as empty."""
+def score_texts(docs: DataFrame, model: LineCrf, keep: list[str], score_col: str, text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` and the score, as ``score_col``, of every row; null text counts as empty."""
     small_batches(docs.sparkSession)
-    schema = docs.select(*keep).schema
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "_score double"])
+    schema = docs.select(*(f"`{c}`" for c in keep)).schema
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), f"`{score_col}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             scores = model.score([document_features(t) for t in b.column(b.num_columns - 1).to_pylist()]) if b.num_rows else []
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], names=[*b.schema.names[:-1], "_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scores, pa.float64())], names=[*b.schema.names[:-1], score_col])
 
-    return docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text")).mapInArrow(run, schema)
+    text = F.coalesce(F.col(text_col), F.lit("")).alias(score_col)
+    return docs.select(*(f"`{c}`" for c in keep), text).mapInArrow(run, schema)
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row; repeated rows are kept, an empty table gives an empty result."""
     model = train(docs, labels)
-    scored = score_texts(docs, model, ["doc_id"])
+    scored = score_texts(docs, model, ["doc_id"], "score")
     held = F.coalesce(_held_out("doc_id"), F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """``docs`` without the documents that the classifier rejects; all columns as they are."""
     model = train(docs, labels)
-    return score_texts(docs, model, docs.columns).where(F.col("_score") >= threshold).drop("_score")
+    score = free_name(docs, "score")
+    return score_texts(docs, model, docs.columns, score).where(F.col(f"`{score}`") >= threshold).drop(score)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import blank_null, materialize
+from kinlink.llm.common import blank_null, free_name, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_EPOCHS = 3
@@ -113,23 +113,21 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> Data
 
     Documents without words are taken as often as their source's whole repetitions and draw say; null ids are drawn as one.
     """
-    own = [c for c in docs.columns if c != "repetition"]
-    slim = docs.select("doc_id", "source", word_count(blank_null("text")).alias("size"))
-    sized = materialize(slim, "sizes")
-    plan = repetitions(sized, max_epochs, seed).groupBy("doc_id", "source", "size").agg(F.array_sort(F.collect_list("repeats")).alias("repeats"))
-    plan = materialize(plan, "repeats")
-    numbered = docs.withColumn("_size", word_count(blank_null("text")))
-    many = plan.where("size(repeats) > 1").limit(1).count()
-    if many:
-        w = Window.partitionBy("doc_id", "source", "_size").orderBy("text")
-        numbered = numbered.withColumn("_at", F.row_number().over(w))
-    else:
-        numbered = numbered.withColumn("_at", F.lit(1))
+    own = [c for c in docs.columns if c.lower() != "repetition"]
+    size, place, plan_id, plan_source, plan_size, repeats = (free_name(docs, n) for n in ("mix_size", "mix_place", "mix_id", "mix_source", "mix_words", "mix_repeats"))
+    sized = materialize(docs.select("doc_id", "source", word_count(blank_null("text")).alias("size")), "sizes")
+    plan = repetitions(sized, max_epochs, seed).groupBy(F.col("doc_id").alias(plan_id), F.col("source").alias(plan_source), F.col("size").alias(plan_size))
+    plan = materialize(plan.agg(F.array_sort(F.collect_list("repeats")).alias(repeats)), "repeats")
+    numbered = docs.select(*(F.col(f"`{c}`") for c in own), word_count(blank_null("text")).alias(size))
+    # rows that share id, source and size take their repeats in the order of their texts
+    shared = plan.where(F.size(repeats) > 1).limit(1).count()
+    row = F.row_number().over(Window.partitionBy("doc_id", "source", size).orderBy("text")) if shared else F.lit(1)
+    numbered = numbered.withColumn(place, row)
     # one plan at every size: texts are dealt out by id, and the plan is never sent whole to all machines
-    joined = numbered.join(plan.hint("merge"), numbered["doc_id"].eqNullSafe(plan["doc_id"]) & numbered["source"].eqNullSafe(plan["source"]) & (numbered["_size"] == plan["size"]))
-    times = F.expr("repeats[_at - 1]")
-    kept = joined.select(*(numbered[c] for c in own), times.cast("int").alias("_n")).where("_n > 0")
-    return kept.select(*own, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("repetition"))
+    joined = numbered.join(plan.hint("merge"), F.col("doc_id").eqNullSafe(F.col(plan_id)) & F.col("source").eqNullSafe(F.col(plan_source)) & (F.col(size) == F.col(plan_size)))
+    times = F.element_at(repeats, F.col(place)).cast("int")
+    kept = joined.where(times > 0).select(*(F.col(f"`{c}`") for c in own), F.explode(F.sequence(F.lit(0), times - 1)).alias("repetition"))
+    return kept
 
 
 _MEND = """
