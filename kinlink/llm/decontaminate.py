@@ -1,11 +1,13 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text's words become a template: numbers, units after numbers, and names (runs of capitalised words inside a sentence) turn into
-typed placeholders, all else is lower-cased. Windows of ``WINDOW`` template tokens are hashed and looked up in the
-benchmark's windows (a hash join whose benchmark side is sent out in blocks of at most ``BLOCK_BYTES`` of text, so it has a
-bound at any size). For each document and item, the placeholders' values must then be consistent: a value of the item stands
-for one value in the document and the other way round; windows that contradict the majority don't count. A document contains an
-item if consistent windows make up ``COVERAGE`` of the item's windows, whatever numbers, names and units it has put in.
+A text's words become a template: numbers, units after numbers, and names (runs of capitalised words, also those that begin
+a sentence, as where sentences begin differs between texts) turn into typed placeholders, all else is lower-cased. A second
+template leaves names as lower-case words, so that a copy in other case is found as well. Windows of ``WINDOW`` template tokens are
+hashed and looked up in the benchmark's windows (a hash join whose benchmark side is sent out in blocks of at most ``BLOCK_BYTES``
+of text, so it has a bound at any size). For each document and item, the placeholders' values must then be consistent: a
+value of the item stands for one value in the document and the other way round; windows that contradict the majority don't
+count. A document contains an item if, in either template, consistent windows make up ``COVERAGE`` of the item's windows,
+whatever numbers, names and units it has put in.
 """
 
 from __future__ import annotations
@@ -27,95 +29,152 @@ WINDOW = 8
 LEAST_WORDS = 4  # shorter items aren't looked for
 LITERALS = 0.5  # of a window's tokens at least
 COVERAGE = 0.4
+MEMO = 1 << 18
 BLOCK_BYTES = 16 << 20
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 #: Unit words and signs that count as units after a number.
 UNITS = frozenset(
     "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg g kg t lb lbs oz ounce ounces pound pounds ton tons ml l liter liters litre litres gallon gallons s sec second seconds"
-    " min minute minutes h hr hour hours day days week weeks month months year years % percent $ € £ dollar dollars euro euros cent cents usd eur km/h mph c f k hz khz mhz ghz kb mb gb tb w kw mw v a j kj pa".split()
+    " min minute minutes h hr hour hours day days week weeks month months year years % percent $ € £ dollar dollars euro euros cent cents usd eur mph c f k hz khz mhz ghz kb mb gb tb w kw mw v a j kj pa".split()
 )
-_TOKEN = re.compile(r"(\d[\d.,:/]*\d|\d)|(km/h|[^\W\d_]+(?:['’-][^\W\d_]+)*)|([%$€£])|([.!?:\n])|[^\s\w]|_")
+_TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d(?:[\d.,:/]*\d)?|\S|\n")
 _P = pow(6364136223846793005, 1, 1 << 64)
+_NUMBER, _WORD, _CAPITAL, _OTHER = range(4)
+WORDS, NAMES = 0, 1  # the template that leaves names as words, and the one that replaces them
 
 
-def canonical(text: str) -> tuple[list[str], list[str]]:
+def _hash(token: str) -> int:
+    return xxhash.xxh64_intdigest(token, 9)
+
+
+_H_NUM, _H_UNIT, _H_NAME = _hash(NUM), _hash(UNIT) >> 4, _hash(NAME) >> 4
+
+
+def _classify(token: str) -> tuple[int, str, int, bool]:
+    """Kind, lower-case form, its hash, and whether it is a unit."""
+    low = token.lower()
+    if token[0].isdecimal():
+        return _NUMBER, low, _H_NUM, False
+    if token[0].isalpha() or token in "%$€£":
+        return _CAPITAL if token[0].isupper() and not token.isupper() else _WORD, low, _hash(low), low in UNITS
+    return _OTHER, low, 0, False
+
+
+def canonical(text: str, names: bool = True) -> tuple[list[str], list[str]]:
     """Template tokens and, for each, the value it stands for ('' for literal words)."""
     tokens, values = [], []
-    start, unit_next, in_name = True, False, False
-    for m in _TOKEN.finditer(text):
-        number, word, sign, stop = m.groups()
-        if number:
-            tokens.append(NUM)
-            values.append(number)
-            start, unit_next, in_name = False, True, False
-        elif word or sign:
-            low = (word or sign).lower()
-            if unit_next and low in UNITS:
-                tokens.append(UNIT)
-                values.append(low)
-                in_name = False
-            elif word and not start and word[0].isupper() and not word.isupper():
-                if in_name:
-                    values[-1] += " " + low
-                else:
-                    tokens.append(NAME)
-                    values.append(low)
-                in_name = True
-            else:
-                tokens.append(low)
-                values.append("")
-                in_name = False
-            start, unit_next = False, False
-        else:
-            in_name, unit_next = False, False
-            start = start or stop is not None
+    unit_next = in_name = False
+    for token in _TOKEN.findall(text):
+        kind, low, _, unit = _classify(token)
+        if kind == _OTHER:
+            unit_next = in_name = False
+            continue
+        if kind == _CAPITAL and names and not (unit and unit_next) and in_name:
+            values[-1] += " " + low
+            continue
+        name = kind == _CAPITAL and names and not (unit and unit_next)
+        tokens.append(NUM if kind == _NUMBER else UNIT if unit and unit_next else NAME if name else low)
+        values.append("" if tokens[-1] == low and not kind == _NUMBER else low)
+        unit_next, in_name = kind == _NUMBER, name
     return tokens, values
 
 
-def window_hashes(tokens: list[str], length: int, memo: dict[str, int]) -> np.ndarray:
-    """A 64-bit hash of each window of ``length`` tokens."""
-    n = len(tokens) - length + 1
+class Memo(dict):
+    """Tokens met so far: 60 bits of hash, two of kind, and one that tells units, in one number.
+
+    With ``known`` words, others get no hash, as no window with them can be met.
+    """
+
+    def __init__(self, known: frozenset[str] | None = None) -> None:
+        self.known = known
+
+    def __missing__(self, token: str) -> int:
+        low = token.lower()
+        if token[0].isalpha() and self.known is not None and low not in self.known:
+            code = (_CAPITAL if token[0].isupper() and not token.isupper() else _WORD) << 1 | (low in UNITS)
+        else:
+            kind, _, h, unit = _classify(token)
+            code = h >> 4 << 4 | kind << 1 | unit
+        if len(self) < MEMO:
+            self[token] = code
+        return code
+
+
+def template_hashes(text: str, memo: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the tokens of both templates, as ``canonical`` gives them; all tokens of a text at once."""
+    tokens = _TOKEN.findall(text)
+    codes = np.fromiter(map(memo.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+    low = codes.astype(np.uint8)
+    kind = low >> 1 & 3
+
+    def after(flag: np.ndarray) -> np.ndarray:
+        out = np.zeros_like(flag)
+        out[1:] = flag[:-1]
+        return out
+
+    unit = (low & 1).astype(bool) & after(kind == _NUMBER)
+    name = (kind == _CAPITAL) & ~unit
+    words = np.where(unit, np.uint64(_H_UNIT), codes >> np.uint64(4))
+    names = np.where(name, np.uint64(_H_NAME), words)
+    real = kind != _OTHER
+    return words[real], names[real & ~(name & after(name))]
+
+
+def window_hashes(h: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of each window of ``length`` tokens, from the tokens' hashes."""
+    n = len(h) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    if len(memo) > 1 << 18:
-        memo.clear()
-    h = np.fromiter((memo[t] if t in memo else memo.setdefault(t, xxhash.xxh64_intdigest(t, 9)) for t in tokens), dtype=np.uint64, count=len(tokens))
     out = np.zeros(n, dtype=np.uint64)
     for k in range(length):
         out = out * np.uint64(_P) + (h[k : k + n] ^ (h[k : k + n] >> np.uint64(29)))
     return out
 
 
+def longest_known(h: np.ndarray) -> int:
+    """The length of the longest run of tokens with a hash."""
+    gaps = np.flatnonzero(h == 0)
+    if not len(gaps):
+        return len(h)
+    return int(max(gaps[0], len(h) - 1 - gaps[-1], np.diff(gaps).max(initial=1) - 1))
+
+
 def _literal(tokens: list[str], at: int, length: int) -> bool:
     return sum(t[0] != "<" for t in tokens[at : at + length]) >= LITERALS * length
 
 
 @dataclass
 class Index:
-    """Benchmark windows of one block: sorted hashes with item number and position, by window length."""
+    """Benchmark windows of one block, for each template: sorted hashes with item number and position, by window length."""
 
     items: list[tuple[int | None, list[str], list[str], int, int]]  # id, tokens, values, length, windows
-    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    rows: list[int]  # each item's row of the block
+    known: frozenset[str]  # all words of their templates
+    tables: tuple[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], ...]
 
 
 def build_index(rows: list[tuple[int | None, str]]) -> Index:
-    items, found = [], defaultdict(list)
-    memo: dict[str, int] = {}
-    for item_id, text in rows:
-        tokens, values = canonical(text or "")
-        length = min(WINDOW, len(tokens))
-        if length < LEAST_WORDS:
-            continue
-        hashes = window_hashes(tokens, length, memo)
-        places = [p for p in range(len(hashes)) if _literal(tokens, p, length)]
-        if places:
-            found[length] += [(hashes[p], len(items), p) for p in places]
-            items.append((item_id, tokens, values, length, len(places)))
-    tables = {}
-    for length, entries in found.items():
-        entries.sort()
-        tables[length] = (np.array([e[0] for e in entries], dtype=np.uint64), np.array([e[1] for e in entries]), np.array([e[2] for e in entries]))
-    return Index(items, tables)
+    items, row_of, found = [], [], (defaultdict(list), defaultdict(list))
+    memo = Memo()
+    for row, (item_id, text) in enumerate(rows):
+        hashes = template_hashes(text or "", memo)
+        for kind in (WORDS, NAMES):
+            tokens, values = canonical(text or "", kind == NAMES)
+            length = min(WINDOW, len(tokens))
+            if length < LEAST_WORDS:
+                continue
+            windows = window_hashes(hashes[kind], length)
+            places = [p for p in range(len(windows)) if _literal(tokens, p, length)]
+            if places:
+                found[kind][length] += [(windows[p], len(items), p) for p in places]
+                items.append((item_id, tokens, values, length, len(places)))
+                row_of.append(row)
+    tables: tuple[dict, ...] = ({}, {})
+    for kind in (WORDS, NAMES):
+        for length, entries in found[kind].items():
+            entries.sort()
+            tables[kind][length] = (np.array([e[0] for e in entries], dtype=np.uint64), np.array([e[1] for e in entries]), np.array([e[2] for e in entries]))
+    return Index(items, row_of, frozenset(t for i in items for t in i[1]), tables)
 
 
 def _consistent(pairs: list[tuple[int, int]], length: int, mine: list[str], theirs: list[str], tokens: list[str]) -> tuple[set[int], bool]:
@@ -137,30 +196,36 @@ def _consistent(pairs: list[tuple[int, int]], length: int, mine: list[str], thei
     return kept, changed
 
 
-def matches(text: str, index: Index, coverage: float, memo: dict[str, int]) -> list[tuple[int | None, int, float, bool]]:
-    """``(item id, consistent windows, their share, re-parameterised)`` of the items that a text contains."""
-    tokens, values = canonical(text)
-    hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for length, (keys, item, place) in index.tables.items():
-        h = window_hashes(tokens, length, memo)
-        lo = np.searchsorted(keys, h)
-        at = np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == h) if len(keys) else []
-        for d in at:
-            k = lo[d]
-            while k < len(keys) and keys[k] == h[d]:
-                _, their_tokens, _, _, _ = index.items[item[k]]
-                if their_tokens[place[k] : place[k] + length] == tokens[d : d + length]:
+def matches(text: str, index: Index, coverage: float, memo: Memo) -> list[tuple[int | None, int, float, bool]]:
+    """``(item id, consistent windows, their share, re-parameterised)`` of the items that a text contains; the template of the larger share counts."""
+    hashes = template_hashes(text, memo)
+    best: dict[int, tuple] = {}
+    for kind in (WORDS, NAMES):
+        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        run = longest_known(hashes[kind])
+        for length, (keys, item, place) in index.tables[kind].items():
+            if run < length:  # every window has a word that the benchmark lacks
+                continue
+            h = window_hashes(hashes[kind], length)
+            lo = np.searchsorted(keys, h)
+            for d in np.flatnonzero(keys[np.minimum(lo, len(keys) - 1)] == h):
+                k = lo[d]
+                while k < len(keys) and keys[k] == h[d]:
                     hits[int(item[k])].append((int(d), int(place[k])))
-                k += 1
-    out = []
-    for i, pairs in sorted(hits.items()):
-        item_id, their_tokens, their_values, length, windows = index.items[i]
-        if len({p for _, p in pairs}) < coverage * windows:
+                    k += 1
+        hits = {i: pairs for i, pairs in hits.items() if len({p for _, p in pairs}) >= coverage * index.items[i][4]}
+        if not hits:
             continue
-        kept, changed = _consistent(pairs, length, values, their_values, their_tokens)
-        if len(kept) >= coverage * windows:
-            out.append((item_id, len(kept), len(kept) / windows, changed))
-    return out
+        tokens, values = canonical(text, kind == NAMES)
+        for i, pairs in sorted(hits.items()):
+            item_id, their_tokens, their_values, length, windows = index.items[i]
+            pairs = [(d, p) for d, p in pairs if their_tokens[p : p + length] == tokens[d : d + length]]
+            kept, changed = _consistent(pairs, length, values, their_values, their_tokens)
+            if len(kept) >= coverage * windows:
+                row = index.rows[i]
+                if row not in best or len(kept) / windows > best[row][2]:
+                    best[row] = (item_id, len(kept), len(kept) / windows, changed)
+    return [best[row] for row in sorted(best)]
 
 
 def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[int | None, str]]]:
@@ -186,7 +251,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         index = build_index(block)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            memo: dict[str, int] = {}
+            memo = Memo(index.known)
             for b in batches:
                 found = [(doc, *m) for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in matches(text, index, coverage, memo)]
                 cols = list(zip(*found, strict=True)) or [()] * len(schema)
@@ -207,7 +272,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = C
         index = build_index(block)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            memo: dict[str, int] = {}
+            memo = Memo(index.known)
             for b in batches:
                 clean = [not matches(t or "", index, coverage, memo) for t in b.column(at).to_pylist()]
                 yield b.filter(pa.array(clean, pa.bool_()))
