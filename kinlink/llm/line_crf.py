@@ -240,6 +240,22 @@ def score_texts(docs: DataFrame, model: LineCrf, keep: list[str], score_col: str
     return docs.select(*(f"`{c}`" for c in keep), text).mapInArrow(run, schema)
 
 
+def label_lines(docs: DataFrame, model: LineCrf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, line, p_good, good)``: every line's marginal and label; an empty or null text has one empty line."""
+    small_batches(docs.sparkSession)
+    schema = pa.schema([("doc_id", pa.int64()), ("line", pa.int64()), ("p_good", pa.float64()), ("good", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                e, mask = model.padded([model.emissions(with_neighbours(document_features(text)[0]))])
+                good = model.marginals(e, mask)[0][0]
+                yield pa.RecordBatch.from_arrays([pa.array([doc] * len(good), pa.int64()), pa.array(range(len(good)), pa.int64()), pa.array(good), pa.array(good >= 0.5)], schema=schema)
+
+    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return slim.mapInArrow(run, "doc_id bigint, line bigint, p_good double, good boolean")
+
+
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for every row; repeated rows are kept, an empty table gives an empty result."""
     model = train(docs, labels)

@@ -64,3 +64,11 @@ def test_edges(spark, edge_docs, no_docs):
     assert kept.columns == edge_docs.columns
     unlabelled = q.quality_report(edge_docs, labels.where("false")).collect()
     assert {r["score"] for r in unlabelled} == {0.5}
+
+
+def test_line_labels(spark, edge_docs):
+    rng = np.random.default_rng(1)
+    model = q.LineCrf(np.zeros(36), np.ones(36), rng.normal(size=37), rng.normal(size=(2, 2)))
+    got = q.label_lines(edge_docs, model).collect()
+    assert len(got) == sum((r["text"] or "").count("\n") + 1 for r in edge_docs.collect())
+    assert all(r["good"] == (r["p_good"] >= 0.5) for r in got)
