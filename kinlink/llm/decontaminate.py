@@ -8,15 +8,20 @@ of text, so it has a bound at any size). For each document and item, the placeho
 value of the item stands for one value in the document and the other way round; windows that contradict the majority don't
 count. A document contains an item if, in either template, consistent windows make up ``COVERAGE`` of the item's windows,
 whatever numbers, names and units it has put in.
+
+Most documents share too few words with the benchmark to be tokenised at all: of an item's windows, so many that one of them must be in
+any document that contains it give two neighbouring words as anchor, and a text without any anchor has no item.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,6 +35,7 @@ LEAST_WORDS = 4  # shorter items aren't looked for
 LITERALS = 0.5  # of a window's tokens at least
 COVERAGE = 0.4
 MEMO = 1 << 18
+ANY = ""
 BLOCK_BYTES = 16 << 20
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 #: Unit words and signs that count as units after a number.
@@ -38,6 +44,7 @@ UNITS = frozenset(
     " min minute minutes h hr hour hours day days week weeks month months year years % percent $ € £ dollar dollars euro euros cent cents usd eur mph c f k hz khz mhz ghz kb mb gb tb w kw mw v a j kj pa".split()
 )
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d(?:[\d.,:/]*\d)?|\S|\n")
+_REAL = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d|[%$€£]")
 _P = pow(6364136223846793005, 1, 1 << 64)
 _NUMBER, _WORD, _CAPITAL, _OTHER = range(4)
 WORDS, NAMES = 0, 1  # the template that leaves names as words, and the one that replaces them
@@ -150,10 +157,23 @@ class Index:
     items: list[tuple[int | None, list[str], list[str], int, int]]  # id, tokens, values, length, windows
     rows: list[int]  # each item's row of the block
     known: frozenset[str]  # all words of their templates
+    anchors: dict[str, set[str]]  # words, case-folded, and words that follow them; any text that contains an item has such a pair
+    coverage: float
     tables: tuple[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], ...]
 
 
-def build_index(rows: list[tuple[int | None, str]]) -> Index:
+def _anchor(window: list[str]) -> tuple[str, str]:
+    """A window's longest word that another word follows, and that word; else its longest word and ``ANY``."""
+    literal = [t[0] != "<" for t in window]
+    starts = [i for i in range(len(window) - 1) if literal[i] and literal[i + 1]]
+    if starts:
+        at = max(starts, key=lambda i: (len(window[i]), window[i], -i))
+        return window[at].casefold(), window[at + 1].casefold()
+    return max((t for t, ok in zip(window, literal, strict=True) if ok), key=lambda t: (len(t), t)).casefold(), ANY
+
+
+def build_index(rows: list[tuple[int | None, str]], coverage: float = COVERAGE) -> Index:
+    anchors: dict[str, set[str]] = defaultdict(set)
     items, row_of, found = [], [], (defaultdict(list), defaultdict(list))
     memo = Memo()
     for row, (item_id, text) in enumerate(rows):
@@ -169,12 +189,38 @@ def build_index(rows: list[tuple[int | None, str]]) -> Index:
                 found[kind][length] += [(windows[p], len(items), p) for p in places]
                 items.append((item_id, tokens, values, length, len(places)))
                 row_of.append(row)
+                pairs = sorted((_anchor(tokens[p : p + length]) for p in places), key=lambda a: (a[1] == ANY, -len(a[0]), a))
+                for word, follower in pairs[: len(pairs) - max(1, math.ceil(coverage * len(pairs))) + 1]:
+                    anchors[word].add(follower)
     tables: tuple[dict, ...] = ({}, {})
     for kind in (WORDS, NAMES):
         for length, entries in found[kind].items():
             entries.sort()
             tables[kind][length] = (np.array([e[0] for e in entries], dtype=np.uint64), np.array([e[1] for e in entries]), np.array([e[2] for e in entries]))
-    return Index(items, row_of, frozenset(t for i in items for t in i[1]), tables)
+    return Index(items, row_of, frozenset(t for i in items for t in i[1]), dict(anchors), coverage, tables)
+
+
+class Anchors:
+    """Finds out whether a text has any of an index's anchors."""
+
+    def __init__(self, index: Index) -> None:
+        self.finder = ahocorasick.Automaton()
+        for word, followers in index.anchors.items():
+            self.finder.add_word(word, (len(word), None if ANY in followers else followers))
+        self.finder.make_automaton()
+        self.some = bool(index.anchors)
+
+    def any_in(self, text: str) -> bool:
+        if not self.some:
+            return False
+        text = text.casefold()
+        for end, (n, followers) in self.finder.iter(text):
+            inside = text[end].isalpha() and (end >= n and text[end - n].isalpha() or end + 1 < len(text) and text[end + 1].isalpha())
+            if not inside:
+                follower = followers and _REAL.search(text, end + 1)
+                if followers is None or follower and follower[0] in followers:
+                    return True
+        return False
 
 
 def _consistent(pairs: list[tuple[int, int]], length: int, mine: list[str], theirs: list[str], tokens: list[str]) -> tuple[set[int], bool]:
@@ -196,8 +242,11 @@ def _consistent(pairs: list[tuple[int, int]], length: int, mine: list[str], thei
     return kept, changed
 
 
-def matches(text: str, index: Index, coverage: float, memo: Memo) -> list[tuple[int | None, int, float, bool]]:
+def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None) -> list[tuple[int | None, int, float, bool]]:
     """``(item id, consistent windows, their share, re-parameterised)`` of the items that a text contains; the template of the larger share counts."""
+    if anchors is not None and not anchors.any_in(text):
+        return []
+    coverage = index.coverage
     hashes = template_hashes(text, memo)
     best: dict[int, tuple] = {}
     for kind in (WORDS, NAMES):
@@ -248,12 +297,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_windows", pa.int64()), ("coverage", pa.float64()), ("changed", pa.bool_())])
     out = None
     for block in blocks_of(benchmark, block_bytes):
-        index = build_index(block)
+        index = build_index(block, coverage)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            memo = Memo(index.known)
+            memo, anchors = Memo(index.known), Anchors(index)
             for b in batches:
-                found = [(doc, *m) for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in matches(text, index, coverage, memo)]
+                found = [(doc, *m) for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for m in matches(text, index, memo, anchors)]
                 cols = list(zip(*found, strict=True)) or [()] * len(schema)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, schema.types, strict=True)], schema=schema)
 
@@ -269,12 +318,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at = columns.index("text")
     for block in blocks_of(benchmark, block_bytes):
-        index = build_index(block)
+        index = build_index(block, coverage)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            memo = Memo(index.known)
+            memo, anchors = Memo(index.known), Anchors(index)
             for b in batches:
-                clean = [not matches(t or "", index, coverage, memo) for t in b.column(at).to_pylist()]
+                clean = [not matches(t or "", index, memo, anchors) for t in b.column(at).to_pylist()]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)

@@ -19,17 +19,17 @@ def test_template():
 
 def test_slots():
     index = d.build_index([(1, ITEM), (2, "too short"), (3, None)])
-    found = lambda t: [m[0] for m in d.matches(t, index, d.COVERAGE, d.Memo())]
+    found = lambda t: [m[0] for m in d.matches(t, index, d.Memo(), d.Anchors(index))]
     assert found(ITEM.lower()) == found(ITEM.upper()) == found(ITEM) == [1] and found("Before it. " + ITEM.upper()[:0] + ITEM + " and after") == [1]
     changed = _swap(ITEM, Bob="Max", _12="99", _4="5").replace("then Alice", "then Zoe").replace("Alice bought", "Zoe bought")
-    [(_, _, share, differs)] = d.matches(changed, index, d.COVERAGE, d.Memo())
+    [(_, _, share, differs)] = d.matches(changed, index, d.Memo(), d.Anchors(index))
     assert differs and share > 0.8
     assert found("A text about other things, which has nothing to do with the item that is looked for here") == []
     words = ITEM.split()
     assert found(" ".join(words[:9])) == []  # too small a part
-    index = d.build_index([(1, "we saw that Alice met Bob and that Alice told Bob of what Alice and Bob had seen")])
+    index = d.build_index([(1, "we saw that Alice met Bob and that Alice told Bob of what Alice and Bob had seen")], 0.9)
     swapped = "we saw that Carl met Dora and that Emil told Fred of what Gina and Hugo had seen"
-    assert d.matches(swapped, index, 0.9, d.Memo()) == []  # one name can't stand for three
+    assert d.matches(swapped, index, d.Memo()) == []  # one name can't stand for three
 
 
 def _plain(text, items):
@@ -75,3 +75,11 @@ def test_blocks_and_edges(spark, edge_docs, no_docs):
         clean = d.drop_contaminated(leak, bench, block_bytes=block_bytes)
         assert clean.columns == leak.columns and sorted((r["doc_id"] for r in clean.collect()), key=repr) == sorted([5, 3, None, 2, 7, 1], key=repr)
     assert d.contaminated(no_docs, bench).count() == 0 and d.contaminated(leak, bench.where("false")).count() == 0
+
+
+def test_anchors_lose_nothing(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").collect()
+    index = d.build_index([(r["item_id"], r["text"]) for r in spark.read.parquet(f"{small_dir}/benchmark.parquet").collect()])
+    anchors, memo = d.Anchors(index), d.Memo()
+    for text in [r["text"] or "" for r in docs]:
+        assert d.matches(text, index, memo, anchors) == d.matches(text, index, memo)
