@@ -100,7 +100,7 @@ def tfidf_weights(left: DataFrame, right: DataFrame, low: int, high: int, text_c
     return raw.join(norm, ["side", "id", *group]).select("side", "id", *group, "gram", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def _index_top(lefts: DataFrame, rights: DataFrame, k: int) -> DataFrame:
+def _index_top(lefts: DataFrame, rights: DataFrame, k: int, group: list[str]) -> DataFrame:
     """Top ``k`` of each left by an index of the right side (gram -> rows and weights), which was found small enough."""
     table = rights.select("id", "gram", "w").toArrow()
     ids, row = np.unique(np.array(table.column("id").to_pylist(), dtype=object), return_inverse=True)
@@ -131,7 +131,7 @@ def _index_top(lefts: DataFrame, rights: DataFrame, k: int) -> DataFrame:
                 out[2].extend(score[best])
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types, strict=True)], schema=schema)
 
-    packed = lefts.groupBy("id").agg(F.collect_list(F.struct("gram", "w")).alias("pairs"))
+    packed = lefts.groupBy("id", *group).agg(F.collect_list(F.struct("gram", "w")).alias("pairs")).select("id", "pairs")
     return packed.mapInArrow(run, f"{LEFT} string, {RIGHT} string, score double")
 
 
@@ -147,13 +147,16 @@ def tfidf_scored(
 ) -> DataFrame:
     """``(entity_id_left, entity_id_right, score)``: the ``top_k`` right entities of each left one by cosine of TF-IDF n-grams, to 9 places.
 
-    Weights are counted before the right side is sent out as an index; a larger right side (or a grouped one) is joined on its grams.
+    Weights are counted before the right side is sent out as an index; a larger right side is joined on its grams. With ``group_col``, entities meet in their
+    group only and the best are taken inside it.
     """
     weights = tfidf_weights(left, right, low, high, text_col, group_col).persist()
     lefts, rights = weights.where("side = 'l'"), weights.where("side = 'r'")
-    if group_col is None and rights.count() <= index_weights:
-        return _index_top(lefts, rights, top_k)
-    return _join_top(lefts, rights, top_k, ["grp"] if group_col else [])
+    group = ["grp"] if group_col else []
+    if rights.count() > index_weights:
+        return _join_top(lefts, rights, top_k, group)
+    keyed = lambda df: df.withColumn("gram", F.concat_ws("\x01", *group, "gram"))
+    return _index_top(keyed(lefts), keyed(rights), top_k, group)
 
 
 def tfidf_candidates(
