@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import blank_null, small_batches
+from kinlink.llm.common import blank_null, materialize, small_batches
 
 CACHE_SCHEMA = "tokenizer string, content binary, n_tokens bigint"
 LIMIT = 4096
@@ -87,5 +87,6 @@ def count_tokens(docs: DataFrame, model: str, cache: str, limit: int = LIMIT, id
     fill_cache(docs, model, cache, text_col)
     text = blank_null(text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("bigint").alias("n_bytes"), F.unhex(F.sha2(text, 256)).alias("content"))
-    counts = read_cache(docs.sparkSession, cache, tokenizer_digest(model))
+    # written first, so that the join's sides are plain exchanges and the rows of a very common text can be split
+    counts = materialize(read_cache(docs.sparkSession, cache, tokenizer_digest(model)), "token-counts")
     return rows.join(counts, "content", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
