@@ -334,9 +334,11 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())
         mark = (seen["n"], seen["x"])
         both = now.union(now.select(F.col("v"), F.col("u")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # minima are written before they are joined, so that the join's sides are plain exchanges and a hub's links can be split
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), label, 2 * seen["n"])
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large, label, 2 * seen["n"])
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), label, seen["n"])
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
         now = materialize(small, label, 2 * seen["n"])
 
