@@ -29,3 +29,9 @@ def normalize_entities(df: DataFrame, source: str | None = None, fold: bool = Tr
         "normalized_country": text.normalized_country(country, fold),
     }
     return df.withColumns(added).withColumn("token_sorted_name", text.sorted_tokens(F.col("normalized_name")))
+
+
+def before_after(processed: DataFrame, n: int = 10) -> DataFrame:
+    """A look at ``n`` rows: originals beside their normalised fields."""
+    fields = ("name", "address", "country")
+    return processed.select("entity_id", *(c for f in fields for c in (f"original_{f}", f"normalized_{f}")), "token_sorted_name").limit(n)

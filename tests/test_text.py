@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kinlink.functions import text
-from kinlink.operators.normalize import normalize_entities
+from kinlink.operators.normalize import before_after, normalize_entities
 from tests.helpers import ENTITY
 
 NAMES = {
@@ -68,6 +68,7 @@ def test_batch_keeps_rows_columns_and_flags(spark):
     got = {(r["entity_id"], r["business_name"]): r for r in out.collect()}
     assert got["E1", "Acme Inc"]["address_missing"] and got["E2", None]["address_missing"] and not got["E1", "Zeta Alpha"]["address_missing"]
     assert got["E1", "Zeta Alpha"]["token_sorted_name"] == "alpha zeta" and got["E2", None]["normalized_name"] is None
+    assert before_after(out, 2).count() == 2
     assert got["E1", "Acme Inc"]["original_name"] == "Acme Inc" and got["E1", "Acme Inc"]["source"] == "s1"
 
 
