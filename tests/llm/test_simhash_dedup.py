@@ -93,3 +93,35 @@ def test_stage_keeps_one_of_each(spark, edge_docs, no_docs):
     assert out.columns == edge_docs.columns
     assert sorted((r["doc_id"] for r in out.collect()), key=repr) == sorted([None, 3, 2, 8, 7, 1, 100], key=repr)
     assert s.keep_one_of_each(no_docs).count() == 0 and s.groups(no_docs).count() == 0
+
+
+def _jaccard(a, b):
+    a, b = s.shingles_of(a.encode()), s.shingles_of(b.encode())
+    return len(a & b) / len(a | b)
+
+
+def test_stage_finds_block_edits(spark):
+    """Copies that are cut, continued, or have a block replaced, by brute-force Jaccard similarity."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    text = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    docs, near = [], 0
+    for g in range(100):
+        base = text(300)
+        copies = [base[:250], [*base, *text(55)], [*base[:150], *text(25), *base[175:]], base[60:-10]]
+        docs += [(g * 10 + i, " ".join(t)) for i, t in enumerate([base, *copies])]
+        pairs = [(g * 10 + i, _jaccard(docs[-5][1], docs[-5 + i][1])) for i in range(1, 5)]
+        near += sum(j >= 0.8 for _, j in pairs)
+    kept = {r["doc_id"] for r in s.keep_one_of_each(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    alike = {i for i, t in docs if i % 10 and _jaccard(docs[i // 10 * 5][1], t) >= 0.8}
+    assert len(alike) == near == 300 and {g * 10 for g in range(100)} <= kept
+    assert len(alike & kept) <= 3  # 99 % are found
+
+
+def test_many_equal_prints(spark):
+    rng = random.Random(6)
+    checks = [rng.getrandbits(63) for _ in range(3)]
+    nodes = [(0, 7, i, checks[i % 3]) for i in range(1500)]
+    links = s.trie_links(spark.createDataFrame(nodes, "seed int, fp bigint, node bigint, check bigint"), 0, check_radius=0)
+    root = {r["node"]: r["root"] for r in s.components(links).collect()}
+    assert [root.get(i, i) for i in range(1500)] == [i % 3 for i in range(1500)]
