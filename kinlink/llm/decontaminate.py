@@ -6,8 +6,9 @@ template leaves names as lower-case words, so that a copy in other case is found
 hashed and looked up in the benchmark's windows (a hash join whose benchmark side is sent out in blocks of at most ``BLOCK_BYTES``
 of text, so it has a bound at any size). For each document and item, the placeholders' values must then be consistent: a
 value of the item stands for one value in the document and the other way round; windows that contradict the majority don't
-count. A document contains an item if, in either template, consistent windows make up ``COVERAGE`` of the item's windows,
-whatever numbers, names and units it has put in.
+count. That holds for each occurrence by itself (windows that lie as in the item, give or take half its length), as a document may
+have several variants of an item, and for all windows together. A document contains an item if, in either template, consistent
+windows make up ``COVERAGE`` of the item's windows, whatever numbers, names and units it has put in.
 
 Most documents share too few words with the benchmark to be tokenised at all: of an item's windows, so many that one of them must be in
 any document that contains it give two neighbouring words as anchor, and a text without any anchor has no item.
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -242,6 +244,25 @@ def _consistent(pairs: list[tuple[int, int]], length: int, mine: list[str], thei
     return kept, changed
 
 
+def _occurrences(pairs: list[tuple[int, int]], length: int, least: float) -> Iterator[list[tuple[int, int]]]:
+    """Groups of hits that may be one occurrence of an item of ``length`` tokens, of ``least`` hits at least: all, those of one alignment, those of near alignments."""
+    yield pairs
+    pairs = sorted(pairs, key=lambda x: (x[0] - x[1], x[1]))
+    shifts = [d - p for d, p in pairs]
+    if shifts[0] == shifts[-1]:
+        return
+    done = 0
+    for i, shift in enumerate(shifts):
+        if i and shifts[i - 1] == shift:
+            continue
+        same, near = bisect_right(shifts, shift), bisect_right(shifts, shift + length // 2)
+        if same - i >= least:
+            yield pairs[i:same]
+        if near > max(same, done) and near - i >= least:
+            yield pairs[i:near]
+        done = max(done, near)
+
+
 def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None) -> list[tuple[int | None, int, float, bool]]:
     """``(item id, consistent windows, their share, re-parameterised)`` of the items that a text contains; the template of the larger share counts."""
     if anchors is not None and not anchors.any_in(text):
@@ -269,11 +290,13 @@ def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None)
         for i, pairs in sorted(hits.items()):
             item_id, their_tokens, their_values, length, windows = index.items[i]
             pairs = [(d, p) for d, p in pairs if their_tokens[p : p + length] == tokens[d : d + length]]
-            kept, changed = _consistent(pairs, length, values, their_values, their_tokens)
-            if len(kept) >= coverage * windows:
-                row = index.rows[i]
-                if row not in best or len(kept) / windows > best[row][2]:
+            row = index.rows[i]
+            for group in _occurrences(pairs, len(their_tokens), coverage * windows) if pairs else ():
+                kept, changed = _consistent(group, length, values, their_values, their_tokens)
+                if len(kept) >= coverage * windows and (row not in best or len(kept) / windows > best[row][2]):
                     best[row] = (item_id, len(kept), len(kept) / windows, changed)
+                if len(kept) == windows:
+                    break
     return [best[row] for row in sorted(best)]
 
 

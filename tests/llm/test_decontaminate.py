@@ -83,3 +83,25 @@ def test_anchors_lose_nothing(spark, small_dir):
     anchors, memo = d.Anchors(index), d.Memo()
     for text in [r["text"] or "" for r in docs]:
         assert d.matches(text, index, memo, anchors) == d.matches(text, index, memo)
+
+
+TOM = "Tom has 12 apples and gives 5 to Jane. How many apples does Tom have left?"
+
+
+def test_each_occurrence_is_judged_by_itself():
+    index = d.build_index([(1, TOM)])
+    found = lambda t: d.matches(t, index, d.Memo(index.known), d.Anchors(index))
+    variants = [
+        "Ann has 30 apples and gives 7 to Zoe. How many apples does Ann have left?",
+        "Bob has 20 apples and gives 9 to Carl. How many apples does Bob have left?",
+        "Eve has 80 apples and gives 4 to Dan. How many apples does Eve have left?",
+    ]
+    for sheet in (variants[:2], variants, variants[::-1], [*variants, TOM], [TOM, *variants * 3]):
+        for gap in (" ", "\n", " Some words stand between the two of them. "):
+            [(item, _, share, _)] = found(gap.join(sheet))
+            assert item == 1 and share == 1
+    edited = [v.replace("gives", "then gives") for v in variants]
+    alone = [found(e) for e in edited]
+    assert [m[0][0] for m in alone] == [1, 1, 1]
+    assert found(" ".join(edited))[0][2] >= alone[0][0][2]
+    assert found(" ".join(v.split(".")[0] for v in variants[:1])) == found("Ann has apples. How many are left?") == []
