@@ -9,6 +9,8 @@ value of the item stands for one value in the document and the other way round;
 count. That holds for each occurrence by itself (windows that lie as in the item, give or take half its length), as a document may
 have several variants of an item, and for all windows together. A document contains an item if, in either template, consistent
 windows make up ``COVERAGE`` of the item's windows, whatever numbers, names and units it has put in.
+Windows of mostly placeholders would be met everywhere; items with such windows are also looked for word by word, with their own
+numbers and the signs of arithmetic, by a third template without placeholders.
 
 Most documents share too few words with the benchmark to be tokenised at all: of an item's windows, so many that one of them must be in
 any document that contains it give two neighbouring words as anchor, and a text without any anchor has no item.
@@ -16,6 +18,7 @@ any document that contains it give two neighbouring words as anchor, and a text
 
 from __future__ import annotations
 
+import logging
 import math
 import re
 from bisect import bisect_right
@@ -49,7 +52,10 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d(?:[\d.,:/]*\d)?|\S|\n")
 _REAL = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*|\d|[%$€£]")
 _P = pow(6364136223846793005, 1, 1 << 64)
 _NUMBER, _WORD, _CAPITAL, _OTHER = range(4)
-WORDS, NAMES = 0, 1  # the template that leaves names as words, and the one that replaces them
+WORDS, NAMES, EXACT = 0, 1, 2  # the template that leaves names as words, the one that replaces them, and the one that replaces nothing
+SIGNS = frozenset("+-*/=<>^×÷·−±≤≥≠√∑∫")  # count in the template that replaces nothing
+_RULE = re.compile("([" + re.escape("".join(sorted(SIGNS))) + r"])\1{2,}")
+_log = logging.getLogger(__name__)
 
 
 def _hash(token: str) -> int:
@@ -88,6 +94,11 @@ def canonical(text: str, names: bool = True) -> tuple[list[str], list[str]]:
     return tokens, values
 
 
+def exact(text: str) -> list[str]:
+    """Lower-case words, numbers and signs, none replaced; three or more equal signs in a row are a rule on the page, not arithmetic."""
+    return [t.lower() for t in _TOKEN.findall(_RULE.sub(" ", text)) if t in SIGNS or _classify(t)[0] != _OTHER]
+
+
 class Memo(dict):
     """Tokens met so far: 60 bits of hash, two of kind, and one that tells units, in one number.
 
@@ -152,6 +163,13 @@ def _literal(tokens: list[str], at: int, length: int) -> bool:
     return sum(t[0] != "<" for t in tokens[at : at + length]) >= LITERALS * length
 
 
+def _exact_anchor(window: list[str]) -> tuple[str, str]:
+    """The same for a window of the third template, where numbers stand for words if there are none."""
+    if any(t[0].isalpha() for t in window):
+        return _anchor([t if t[0].isalpha() else NUM for t in window])
+    return max((t for t in window if t not in SIGNS), key=lambda t: (len(t), t)), ANY
+
+
 @dataclass
 class Index:
     """Benchmark windows of one block, for each template: sorted hashes with item number and position, by window length."""
@@ -161,6 +179,8 @@ class Index:
     known: frozenset[str]  # all words of their templates
     anchors: dict[str, set[str]]  # words, case-folded, and words that follow them; any text that contains an item has such a pair
     coverage: float
+    unseen: list[int | None]  # items without any window, which aren't looked for
+    words: dict[str, int]  # the tokens of the third template and their hashes
     tables: tuple[dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], ...]
 
 
@@ -176,9 +196,18 @@ def _anchor(window: list[str]) -> tuple[str, str]:
 
 def build_index(rows: list[tuple[int | None, str]], coverage: float = COVERAGE) -> Index:
     anchors: dict[str, set[str]] = defaultdict(set)
-    items, row_of, found = [], [], (defaultdict(list), defaultdict(list))
-    memo = Memo()
-    for row, (item_id, text) in enumerate(rows):
+    items, row_of, found = [], [], (defaultdict(list), defaultdict(list), defaultdict(list))
+    memo, words = Memo(), {}
+
+    def add(kind: int, row: int, tokens: list[str], values: list[str], length: int, windows: np.ndarray, places: list[int]) -> None:
+        found[kind][length] += [(windows[p], len(items), p) for p in places]
+        items.append((rows[row][0], tokens, values, length, len(places)))
+        row_of.append(row)
+        pairs = sorted(((_exact_anchor if kind == EXACT else _anchor)(tokens[p : p + length]) for p in places), key=lambda a: (a[1] == ANY, -len(a[0]), a))
+        for word, follower in pairs[: len(pairs) - max(1, math.ceil(coverage * len(pairs))) + 1]:
+            anchors[word].add(follower)
+
+    for row, (_, text) in enumerate(rows):
         hashes = template_hashes(text or "", memo)
         for kind in (WORDS, NAMES):
             tokens, values = canonical(text or "", kind == NAMES)
@@ -188,18 +217,23 @@ def build_index(rows: list[tuple[int | None, str]], coverage: float = COVERAGE)
             windows = window_hashes(hashes[kind], length)
             places = [p for p in range(len(windows)) if _literal(tokens, p, length)]
             if places:
-                found[kind][length] += [(windows[p], len(items), p) for p in places]
-                items.append((item_id, tokens, values, length, len(places)))
-                row_of.append(row)
-                pairs = sorted((_anchor(tokens[p : p + length]) for p in places), key=lambda a: (a[1] == ANY, -len(a[0]), a))
-                for word, follower in pairs[: len(pairs) - max(1, math.ceil(coverage * len(pairs))) + 1]:
-                    anchors[word].add(follower)
-    tables: tuple[dict, ...] = ({}, {})
-    for kind in (WORDS, NAMES):
+                add(kind, row, tokens, values, length, windows, places)
+            if kind == WORDS and len(places) < len(windows):
+                tokens = exact(text)
+                length = min(WINDOW, len(tokens))
+                places = [p for p in range(len(tokens) - length + 1) if any(t not in SIGNS for t in tokens[p : p + length])]
+                if places:
+                    words.update((t, _hash(t) >> 4) for t in tokens)
+                    windows = window_hashes(np.array([words[t] for t in tokens], dtype=np.uint64), length)
+                    add(EXACT, row, tokens, [""] * len(tokens), length, windows, places)
+    looked_for = set(row_of)
+    unseen = [item_id for row, (item_id, _) in enumerate(rows) if row not in looked_for]
+    tables: tuple[dict, ...] = ({}, {}, {})
+    for kind in (WORDS, NAMES, EXACT):
         for length, entries in found[kind].items():
             entries.sort()
             tables[kind][length] = (np.array([e[0] for e in entries], dtype=np.uint64), np.array([e[1] for e in entries]), np.array([e[2] for e in entries]))
-    return Index(items, row_of, frozenset(t for i in items for t in i[1]), dict(anchors), coverage, tables)
+    return Index(items, row_of, frozenset(t for i in items for t in i[1]), dict(anchors), coverage, unseen, words, tables)
 
 
 class Anchors:
@@ -268,9 +302,11 @@ def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None)
     if anchors is not None and not anchors.any_in(text):
         return []
     coverage = index.coverage
-    hashes = template_hashes(text, memo)
+    hashes = [*template_hashes(text, memo), np.zeros(0, dtype=np.uint64)]
+    if index.tables[EXACT]:
+        hashes[EXACT] = np.array([index.words.get(t, 0) for t in exact(text)], dtype=np.uint64)
     best: dict[int, tuple] = {}
-    for kind in (WORDS, NAMES):
+    for kind in (WORDS, NAMES, EXACT):
         hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
         run = longest_known(hashes[kind])
         for length, (keys, item, place) in index.tables[kind].items():
@@ -286,13 +322,13 @@ def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None)
         hits = {i: pairs for i, pairs in hits.items() if len({p for _, p in pairs}) >= coverage * index.items[i][4]}
         if not hits:
             continue
-        tokens, values = canonical(text, kind == NAMES)
+        tokens, values = (exact(text), [""] * len(hashes[EXACT])) if kind == EXACT else canonical(text, kind == NAMES)
         for i, pairs in sorted(hits.items()):
             item_id, their_tokens, their_values, length, windows = index.items[i]
             pairs = [(d, p) for d, p in pairs if their_tokens[p : p + length] == tokens[d : d + length]]
             row = index.rows[i]
             for group in _occurrences(pairs, len(their_tokens), coverage * windows) if pairs else ():
-                kept, changed = _consistent(group, length, values, their_values, their_tokens)
+                kept, changed = ({p for _, p in group}, False) if kind == EXACT else _consistent(group, length, values, their_values, their_tokens)
                 if len(kept) >= coverage * windows and (row not in best or len(kept) / windows > best[row][2]):
                     best[row] = (item_id, len(kept), len(kept) / windows, changed)
                 if len(kept) == windows:
@@ -309,6 +345,18 @@ def blocks_of(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()]
 
 
+def not_looked_for(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[int | None]:
+    """The ids of the items that have no window, as their texts are too short."""
+    return [i for block in blocks_of(benchmark, block_bytes) for i in build_index(block).unseen]
+
+
+def _index_of(block: list[tuple[int | None, str]], coverage: float) -> Index:
+    index = build_index(block, coverage)
+    if index.unseen:
+        _log.warning("%d benchmark items are too short to be looked for, the first of them: %s", len(index.unseen), index.unseen[:20])
+    return index
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(doc_id, item_id, n_windows, coverage, changed)``: one row for each document row and item it contains.
 
@@ -320,7 +368,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("n_windows", pa.int64()), ("coverage", pa.float64()), ("changed", pa.bool_())])
     out = None
     for block in blocks_of(benchmark, block_bytes):
-        index = build_index(block, coverage)
+        index = _index_of(block, coverage)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             memo, anchors = Memo(index.known), Anchors(index)
@@ -341,7 +389,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at = columns.index("text")
     for block in blocks_of(benchmark, block_bytes):
-        index = build_index(block, coverage)
+        index = _index_of(block, coverage)
 
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             memo, anchors = Memo(index.known), Anchors(index)

@@ -105,3 +105,23 @@ def test_each_occurrence_is_judged_by_itself():
     assert [m[0][0] for m in alone] == [1, 1, 1]
     assert found(" ".join(edited))[0][2] >= alone[0][0][2]
     assert found(" ".join(v.split(".")[0] for v in variants[:1])) == found("Ann has apples. How many are left?") == []
+
+
+SUMS = ["What is 12 + 34 * 5?", "Compute 12 + 34 * 5 - 7.", "Solve 3x + 5 = 20", "17 23 42 99 103 1,024", "Convert 5 km 7 m 12 cm 3 mm 9 kg 4 g and then 6 s to 8 h"]
+
+
+def test_items_of_mostly_numbers(spark):
+    index = d.build_index([*enumerate(SUMS), (7, "1 + 2"), (8, None)])
+    anchors = d.Anchors(index)
+    found = lambda t: [m[0] for m in d.matches(t, index, d.Memo(index.known), anchors)]
+    for i, item in enumerate(SUMS):
+        for text in (item, f"Exercise 4. {item}\nThe end", f"Before it {item.upper()} and after 5 of them"):
+            assert found(text) == [i]
+    assert found("What is 13 + 34 * 5? Compute 12 + 34 * 6 - 7. Solve 3x - 5 = 20") == []
+    assert found("---------------------- 12 ============ 34") == []
+    assert index.unseen == [7, 8]
+    bench = spark.createDataFrame([*enumerate(SUMS), (7, "1 + 2"), (8, None)], BENCH)
+    assert sorted(d.not_looked_for(bench)) == [7, 8]
+    docs = spark.createDataFrame([(i, f"Page {i}. {t} End.") for i, t in enumerate([*SUMS, "Nothing here"])], "doc_id bigint, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, bench).collect()) == [(i, i) for i in range(5)]
+    assert [r["doc_id"] for r in d.drop_contaminated(docs, bench).collect()] == [5]
