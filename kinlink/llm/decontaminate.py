@@ -8,7 +8,7 @@ of text, so it has a bound at any size). For each document and item, the placeho
 value of the item stands for one value in the document and the other way round; windows that contradict the majority don't
 count. That holds for each occurrence by itself (windows that lie as in the item, give or take half its length), as a document may
 have several variants of an item, and for all windows together. A document contains an item if, in either template, consistent
-windows make up ``COVERAGE`` of the item's windows, whatever numbers, names and units it has put in.
+windows make up ``COVERAGE`` of the item's windows or so much of a long item that ``RUN`` of them follow each other, whatever numbers, names and units it has put in.
 Windows of mostly placeholders would be met everywhere; items with such windows are also looked for word by word, with their own
 numbers and the signs of arithmetic, by a third template without placeholders.
 
@@ -39,6 +39,7 @@ WINDOW = 8
 LEAST_WORDS = 4  # shorter items aren't looked for
 LITERALS = 0.5  # of a window's tokens at least
 COVERAGE = 0.4
+RUN = 50  # so many windows in a row are enough, however long the item
 MEMO = 1 << 18
 ANY = ""
 BLOCK_BYTES = 16 << 20
@@ -174,7 +175,7 @@ def _exact_anchor(window: list[str]) -> tuple[str, str]:
 class Index:
     """Benchmark windows of one block, for each template: sorted hashes with item number and position, by window length."""
 
-    items: list[tuple[int | None, list[str], list[str], int, int]]  # id, tokens, values, length, windows
+    items: list[tuple[int | None, list[str], list[str], int, list[int]]]  # id, tokens, values, length, windows' positions
     rows: list[int]  # each item's row of the block
     known: frozenset[str]  # all words of their templates
     anchors: dict[str, set[str]]  # words, case-folded, and words that follow them; any text that contains an item has such a pair
@@ -201,10 +202,14 @@ def build_index(rows: list[tuple[int | None, str]], coverage: float = COVERAGE)
 
     def add(kind: int, row: int, tokens: list[str], values: list[str], length: int, windows: np.ndarray, places: list[int]) -> None:
         found[kind][length] += [(windows[p], len(items), p) for p in places]
-        items.append((rows[row][0], tokens, values, length, len(places)))
+        items.append((rows[row][0], tokens, values, length, places))
         row_of.append(row)
-        pairs = sorted(((_exact_anchor if kind == EXACT else _anchor)(tokens[p : p + length]) for p in places), key=lambda a: (a[1] == ANY, -len(a[0]), a))
-        for word, follower in pairs[: len(pairs) - max(1, math.ceil(coverage * len(pairs))) + 1]:
+        anchor = _exact_anchor if kind == EXACT else _anchor
+        pairs = sorted((anchor(tokens[p : p + length]) for p in places), key=lambda a: (a[1] == ANY, -len(a[0]), a))
+        pairs = pairs[: len(pairs) - max(1, math.ceil(coverage * len(pairs))) + 1]
+        if RUN < coverage * len(places):  # and one of any so many in a row
+            pairs += [anchor(tokens[p : p + length]) for p in places[RUN - 1 :: RUN]]
+        for word, follower in pairs:
             anchors[word].add(follower)
 
     for row, (_, text) in enumerate(rows):
@@ -297,6 +302,15 @@ def _occurrences(pairs: list[tuple[int, int]], length: int, least: float) -> Ite
         done = max(done, near)
 
 
+def _longest_run(kept: set[int], places: list[int]) -> int:
+    """How many of an item's windows, at most, are kept one after the other."""
+    longest = run = 0
+    for p in places:
+        run = run + 1 if p in kept else 0
+        longest = max(longest, run)
+    return longest
+
+
 def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None) -> list[tuple[int | None, int, float, bool]]:
     """``(item id, consistent windows, their share, re-parameterised)`` of the items that a text contains; the template of the larger share counts."""
     if anchors is not None and not anchors.any_in(text):
@@ -319,17 +333,20 @@ def matches(text: str, index: Index, memo: Memo, anchors: Anchors | None = None)
                 while k < len(keys) and keys[k] == h[d]:
                     hits[int(item[k])].append((int(d), int(place[k])))
                     k += 1
-        hits = {i: pairs for i, pairs in hits.items() if len({p for _, p in pairs}) >= coverage * index.items[i][4]}
+        hits = {i: pairs for i, pairs in hits.items() if len({p for _, p in pairs}) >= min(coverage * len(index.items[i][4]), RUN)}
         if not hits:
             continue
         tokens, values = (exact(text), [""] * len(hashes[EXACT])) if kind == EXACT else canonical(text, kind == NAMES)
         for i, pairs in sorted(hits.items()):
-            item_id, their_tokens, their_values, length, windows = index.items[i]
+            item_id, their_tokens, their_values, length, places = index.items[i]
+            windows = len(places)
+            least = min(coverage * windows, RUN)
             pairs = [(d, p) for d, p in pairs if their_tokens[p : p + length] == tokens[d : d + length]]
             row = index.rows[i]
-            for group in _occurrences(pairs, len(their_tokens), coverage * windows) if pairs else ():
+            for group in _occurrences(pairs, len(their_tokens), least) if pairs else ():
                 kept, changed = ({p for _, p in group}, False) if kind == EXACT else _consistent(group, length, values, their_values, their_tokens)
-                if len(kept) >= coverage * windows and (row not in best or len(kept) / windows > best[row][2]):
+                enough = len(kept) >= coverage * windows or len(kept) >= RUN and len({d - p for d, p in group}) == 1 and _longest_run(kept, places) >= RUN
+                if enough and (row not in best or len(kept) / windows > best[row][2]):
                     best[row] = (item_id, len(kept), len(kept) / windows, changed)
                 if len(kept) == windows:
                     break

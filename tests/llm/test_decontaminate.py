@@ -125,3 +125,15 @@ def test_items_of_mostly_numbers(spark):
     docs = spark.createDataFrame([(i, f"Page {i}. {t} End.") for i, t in enumerate([*SUMS, "Nothing here"])], "doc_id bigint, text string")
     assert sorted((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, bench).collect()) == [(i, i) for i in range(5)]
     assert [r["doc_id"] for r in d.drop_contaminated(docs, bench).collect()] == [5]
+
+
+def test_passage_of_a_long_item():
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)]
+    index = d.build_index([(1, " ".join(words))])
+    anchors = d.Anchors(index)
+    found = lambda a, b: [m[0] for m in d.matches("Before it " + " ".join(words[a:b]) + " and after", index, d.Memo(index.known), anchors)]
+    for a in range(0, 351, 7):
+        assert found(a, a + 150) == found(a, a + d.RUN + d.WINDOW - 1) == [1]
+        assert found(a, a + d.RUN + d.WINDOW - 2) == []
+    scattered = " ".join(w for at in range(0, 500, 50) for w in words[at : at + 15])  # 80 windows, none in a long run
+    assert d.matches(scattered, index, d.Memo(index.known), anchors) == []
