@@ -1,9 +1,10 @@
 """Licence scans: Dice coefficient over word bigrams between pieces of a text and licence templates.
 
 Texts are normalised: lower-cased, words are runs of letters, digits and inner dots (``2.0``), all else separates. The pieces of a text are the
-whole, its paragraphs (runs of lines between blank ones), its lines, and the sentences of its lines. A piece of n
+whole, its paragraphs (runs of lines between blank ones), its lines, the sentences of its lines, and all runs of such sentences one after
+the other, over lines and blank lines, as long licences have several. A piece of n
 bigrams can only reach a coefficient t with templates of between n * t / (2 - t) and n * (2 - t) / t bigrams; only those are
-compared. A document without any bigram of any template is done at once.
+compared, and of the runs of sentences only those in which the share of bigrams that any template has allows the threshold (t / (2 - t)). A document without any bigram of any template is done at once.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from kinlink.llm.common import small_batches
 
 THRESHOLD = 0.8
+LEAST = 0.5  # the threshold for which ``pieces`` gives all runs of sentences, unless told another
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*\+?")
 _PARAGRAPH = re.compile(r"(?:[^\n]*\S[^\n]*\n?)+")
 _SENTENCE = re.compile(r"(?<=[.;!?])\s+(?=\S)")
@@ -85,6 +88,7 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
     ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("Proprietary", "All rights reserved."),
     ("Proprietary", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."),
 )
 
@@ -118,8 +122,48 @@ class Templates:
         return self.made[bisect_left(self.sizes, lo - 1e-9) : bisect_right(self.sizes, hi + 1e-9)]
 
 
-def pieces(text: str) -> Iterator[tuple[int, str]]:
-    """Start and text of the whole, of paragraphs, lines and sentences; equal spans may come twice."""
+def _sentences(line: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each sentence of a line."""
+    start = 0
+    for m in _SENTENCE.finditer(line):
+        yield start, m.end()
+        start = m.end()
+    yield start, len(line)
+
+
+def runs(text: str, templates: Templates, threshold: float) -> Iterator[tuple[int, int]]:
+    """Start and end of each run of two or more sentences that some template may reach the threshold with; of equal texts the first."""
+    share = threshold / (2 - threshold)
+    most = max(templates.sizes, default=0) / share + 1e-9
+    spans, counts, words = [], [], []
+    at = 0
+    for line in text.split("\n"):
+        for start, end in _sentences(line):
+            if own := words_of(line[start:end]):
+                spans.append((at + start, at + end))
+                counts.append(len(own))
+                words += own
+        at += len(line) + 1
+    if len(spans) < 2:
+        return
+    known = np.fromiter((p in templates.known for p in zip(words, words[1:], strict=False)), dtype=np.int64, count=len(words) - 1)
+    ends = np.cumsum(counts)
+    starts = ends - counts
+    before = np.r_[0, np.cumsum(known), known.sum()]  # known bigrams that begin before each word
+    for k in range(1, len(spans)):
+        size = ends[k:] - starts[:-k] - 1
+        if size.min() > most:
+            break
+        seen = set()
+        for i in np.flatnonzero((size <= most) & (before[ends[k:] - 1] - before[starts[:-k]] >= share * size - 1e-9)):
+            start, end = spans[i][0], spans[i + k][1]
+            if (run := text[start:end]) not in seen:
+                seen.add(run)
+                yield start, end
+
+
+def pieces(text: str, templates: Templates | None = None, threshold: float = LEAST) -> Iterator[tuple[int, str]]:
+    """Start and text of the whole, of paragraphs, lines and sentences, and of the runs of sentences that can reach the threshold; equal spans may come twice."""
     yield 0, text
     if "\n" in text:
         for m in _PARAGRAPH.finditer(text):
@@ -127,12 +171,12 @@ def pieces(text: str) -> Iterator[tuple[int, str]]:
     at = 0
     for line in text.split("\n"):
         yield at, line
-        start = 0
-        cuts = [m.end() for m in _SENTENCE.finditer(line)]
-        for cut in cuts and [*cuts, len(line)]:
-            yield at + start, line[start:cut]
-            start = cut
+        sentences = list(_sentences(line))
+        for start, end in sentences if len(sentences) > 1 else ():
+            yield at + start, line[start:end]
         at += len(line) + 1
+    for start, end in runs(text, templates or Templates(), threshold):
+        yield start, text[start:end]
 
 
 def scan(text: str, templates: Templates, threshold: float) -> list[tuple[str, float, int]]:
@@ -141,7 +185,7 @@ def scan(text: str, templates: Templates, threshold: float) -> list[tuple[str, f
     if not any(p in templates.known for p in zip(words, words[1:], strict=False)):
         return []
     best: dict[str, tuple[float, int]] = {}
-    for at, piece in pieces(text):
+    for at, piece in pieces(text, templates, threshold):
         own = words_of(piece)
         near = templates.candidates(len(own) - 1, threshold) if len(own) > 1 else []
         if near and any(p in templates.known for p in zip(own, own[1:], strict=False)):

@@ -47,3 +47,49 @@ def test_query(spark, small_dir):
     made = lic.Templates()
     want = sorted((r["doc_id"], *h) for r in spark.read.parquet(f"{small_dir}/documents.parquet").collect() for h in lic.scan(r["text"] or "", made, lic.THRESHOLD))
     assert sorted(map(tuple, QUERIES["op6_license_scan"](spark, small_dir).collect())) == want and want
+
+
+def _wrapped(text, width=72):
+    import textwrap
+
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_long_licences_inside_long_texts():
+    made = lic.Templates()
+    prose = "The quick walk led them past the mill. Nobody spoke of it again until the evening came. Then they all went home.\n" * 30
+    long = {name: text for name, text in lic.TEMPLATES if len(lic.words_of(text)) > 60}
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC", "Apache-2.0", "GPL-2.0", "LGPL-3.0"} <= set(long)
+    for name, text in long.items():
+        parts = lic._SENTENCE.split(text)
+        for inside in ("\n\n".join(parts), "\n\n".join(map(_wrapped, parts)), _wrapped(text), "\n".join(parts), text):
+            for around in (f"{prose}\n\n{inside}\n\n{prose}", f"{prose}\n{inside}\n{prose}", f"{prose[:-1]} {inside} {prose}"):
+                assert name in {n for n, _, _ in lic.scan(around, made, 0.8)}, (name, around)
+    mit = long["MIT"].split(": ", 1)[0] + ":", "The above" + long["MIT"].split("The above")[1].split(" THE SOFTWARE IS")[0], lic._WARRANTY
+    text = f"{prose}\nMIT License\n\nCopyright (c) 2020 A. Writer\n\n" + "\n\n".join(map(_wrapped, mit)) + f"\n\n{prose}"
+    assert lic.scan(text, made, 0.8) == [("MIT", 1.0, text.index("Permission is"))]
+    assert lic.scan(prose, made, 0.8) == []
+    assert lic.scan(f"{prose}Copyright 2020 A. Writer Ltd. All rights reserved.\n{prose}", made, 0.8)[0][0] == "Proprietary"
+    many = "All rights reserved.\n" * 20_000
+    assert lic.scan(many, made, 0.8)[0] == ("Proprietary", 1.0, 0)
+
+
+def test_runs_lose_nothing():
+    """All runs of sentences against every template, without bounds."""
+    made = lic.Templates()
+    for name, text in lic.TEMPLATES[::3]:
+        whole = "One thing. Another of the kind.\n\n" + "\n".join(lic._SENTENCE.split(text)) + "\nThe end of it. It was."
+        cuts = [(at + a, at + b) for at, line in _lines(whole) for a, b in lic._sentences(line) if line.strip()]
+        for threshold in (0.6, 0.8):
+            runs = set(lic.runs(whole, made, threshold))
+            for i, j in itertools.combinations(range(len(cuts)), 2):
+                own = lic.bigrams(lic.words_of(whole[cuts[i][0] : cuts[j][1]]))
+                if max(lic.dice(own, t) for _, t in made.made) >= threshold:
+                    assert (cuts[i][0], cuts[j][1]) in runs
+
+
+def _lines(text):
+    at = 0
+    for line in text.split("\n"):
+        yield at, line
+        at += len(line) + 1
