@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import materialize, sized, small_batches
+from kinlink.llm.common import free_name, materialize, sized, small_batches
 
 SEED = 42
 WIDTH = 4
@@ -377,14 +377,15 @@ def groups(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH) -> DataFra
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, f0 .. f15, check)``: the sketches of every whole text; null text counts as empty."""
+    """``(doc_id, f0 .. f15, check, digest)``: the sketches of every whole text, and its XXH64 as Spark has it; null text counts as empty."""
     small_batches(docs.sparkSession)
-    names = ["doc_id", *(f"f{i}" for i in range(BANDS)), "check"]
+    names = ["doc_id", *(f"f{i}" for i in range(BANDS)), "check", "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = np.array([sketches(t or b"") for t in b.column(1).cast(pa.binary()).to_pylist()], dtype=np.uint64).reshape(-1, BANDS + 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(BANDS + 1))], names=names)
+            texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
+            made = np.array([[*sketches(t), xxhash.xxh64_intdigest(t, SEED)] for t in texts], dtype=np.uint64).reshape(-1, BANDS + 2)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(BANDS + 2))], names=names)
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
@@ -394,18 +395,27 @@ def keep_one_of_each(docs: DataFrame, radius: int = 0, check_radius: int = CHECK
     """``docs`` without near copies: of each group of linked documents, that of the smallest doc_id stays, once.
 
     All columns are kept as they are. Rows with a null doc_id are kept. Null texts count as empty, and empty texts are copies of each other.
-    An empty table gives an empty table.
+    Different texts under one doc_id are documents of their own. An empty table gives an empty table.
     """
     made = materialize(sketch_documents(docs), "sketches")
     own = [f"f{i}" for i in range(BANDS)]
-    classes = materialize(made.where("doc_id is not null").groupBy(*own, "check").agg(F.min("doc_id").alias("node")), "copies", made.count())
+    known = made.where("doc_id is not null")
+    twice = known.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+    first = known.groupBy(*own, "check").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    classes = materialize(first.withColumn("node", F.xxhash64(*own, "check") if twice else F.col("first.doc_id")), "copies", made.count())
     seeds = F.explode(F.array(*(F.struct(F.lit(i).alias("seed"), F.col(f).alias("fp")) for i, f in enumerate(own))))
     nodes = classes.select("node", "check", seeds.alias("s")).select("s.seed", "s.fp", "node", "check")
     roots = components(trie_links(nodes, radius, check_radius=check_radius), "near-copies")
-    kept = classes.select("node").join(roots.where("node <> root"), "node", "left_anti")
-    kept = materialize(kept.select(F.col("node").alias("doc_id")), "kept", classes.count())
     # one plan at every size: texts are dealt out by id, and ids are never sent whole to all machines
-    stay = docs.join(kept.hint("merge"), "doc_id", "left_semi")
-    if made.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        stay = stay.dropDuplicates(["doc_id"])
+    if twice:
+        rooted = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")
+        kept = rooted.groupBy("root").agg(F.min("first").alias("first"))
+        kept = materialize(kept.select(F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest")), "kept", classes.count())
+        digest = free_name(docs, "digest")
+        marked = docs.withColumn(digest, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+        stay = marked.join(kept.withColumnRenamed("digest", digest).hint("merge"), ["doc_id", digest], "left_semi").dropDuplicates(["doc_id", digest]).drop(digest)
+    else:
+        kept = classes.select("node").join(roots.where("node <> root"), "node", "left_anti")
+        kept = materialize(kept.select(F.col("node").alias("doc_id")), "kept", classes.count())
+        stay = docs.join(kept.hint("merge"), "doc_id", "left_semi")
     return stay.unionByName(docs.where("doc_id is null"))

@@ -125,3 +125,10 @@ def test_many_equal_prints(spark):
     links = s.trie_links(spark.createDataFrame(nodes, "seed int, fp bigint, node bigint, check bigint"), 0, check_radius=0)
     root = {r["node"]: r["root"] for r in s.components(links).collect()}
     assert [root.get(i, i) for i in range(1500)] == [i % 3 for i in range(1500)]
+
+
+def test_texts_under_one_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(100)) for x in "abc")
+    rows = [(2, a), (1, a), (1, b), (3, b), (3, c), (3, c), (4, None), (4, ""), (5, c + " more")]
+    kept = s.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(1, a), (1, b), (3, c), (4, "")]
