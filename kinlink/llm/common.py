@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Whole texts travel to Python workers in batches of so many rows, so a batch of long texts stays small.
-ARROW_ROWS = 256
+#: Rows travel to Python workers in Arrow batches of so many rows and (a batch ends with the row that goes beyond) so many bytes.
+ARROW_ROWS, ARROW_BYTES = 2048, 4 << 20
 
 _own_dirs: dict[str, str] = {}
 
@@ -45,16 +45,28 @@ def materialize(df: DataFrame, label: str, rows: int | None = None) -> DataFrame
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors.
 
     ``rows``: about how many narrow rows there are, if known, so that a small table isn't scattered over many files.
+    ``release`` deletes the table once nothing reads it any more; the rest go with the application's folder.
     """
     path = fresh_path(df.sparkSession, label)
     df = df if rows is None else sized(df, rows)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
 
 
-def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound the rows of an Arrow batch (session setting), for operators whose Python side reads whole texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` wrote and that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows and bytes of an Arrow batch. All operators set the same two values, so it doesn't matter which of their lazy plans runs when."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -5,20 +5,22 @@ each occurrence of a shingle of ``width`` words (the whole sequence where there
 the bits of its XXH64. A bit is set if it is set in over half of the hashes. No words: fingerprint 0,
 which links like any other.
 
-Trie join. Two fingerprints that differ in at most ``radius`` bits agree on at least
-``blocks - radius`` of ``blocks`` blocks, so they share a subtree in a trie that reads so many
-blocks first. Each choice of blocks makes one trie; its subtrees are the units of work. Inside a
-subtree, pairs of nodes are walked down together, level by level: a pair carries the differing bits
-so far and is dropped once they exceed the radius; pairs of few leaves are compared whole. The
-number of blocks grows with the number of distinct fingerprints, so subtrees stay small, and any
-subtree of more than ``leaf_limit`` fingerprints is dealt out as pairs of its parts, which lose no link.
+Trie join. A binary trie of the fingerprints is joined with itself: pairs of nodes are walked down together, a pair
+has the differing bits of all it has read so far, and it is dropped once they exceed the radius, with all the leaves below.
+Edges are compressed: a node reads, at once, the bits that all its leaves share. One trie serves up to ``SUBTREE`` fingerprints.
+More are dealt to many tasks: two fingerprints that differ in at most ``radius`` bits agree on at least ``blocks - radius`` of
+``blocks`` blocks, so they share a subtree in one of the tries that read so many blocks, or the first bits of these, before all others;
+no more bits are read first than it takes for subtrees of ``SUBTREE`` fingerprints. A
+subtree of more than ``leaf_limit`` fingerprints is dealt out by its next bits, in pairs of parts whose bits differ
+within the radius (and a part that still is too large, by hash), which loses no link.
 A unit returns a spanning forest of its links, never all pairs of a group.
 
 Copies with edits move more bits than exact links allow, so the corpus stage (``keep_one_of_each``) takes
 ``BANDS`` prints of ``ROWS`` MinHashes each over five-word shingles and joins each of them by the same tries
 with radius 0: a pair of Jaccard similarity j is compared with a probability of 1 - (1 - j^ROWS)^BANDS (0.9998 at 0.8),
-wherever the texts differ. A pair is accepted only if a sketch of the 64 one-bit MinHashes
-agrees too (``CHECK_RADIUS`` differing bits at most, where a Jaccard similarity of 0.8 gives 6.4 on average).
+wherever the texts differ. A pair is accepted only if their sketches of ``CHECK_BITS`` one-bit MinHashes differ in at most
+``CHECK_RADIUS`` bits (a similarity of j gives CHECK_BITS * (1 - j) / 2 on average, so a pair passes with a probability of
+0.98 at 0.8, 0.6 at 0.75, 0.1 at 0.7 and 0.0001 at 0.6).
 """
 
 from __future__ import annotations
@@ -32,18 +34,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinlink.llm.common import free_name, materialize, sized, small_batches
+from kinlink.llm.common import free_name, materialize, release, sized, small_batches
 
 SEED = 42
 WIDTH = 4
 RADIUS = 4
+SUBTREE = 512
 LEAF_LIMIT = 4096
-BRUTE = 64  # node pairs with so few leaf pairs are compared leaf by leaf
+NEXT_BITS = 8
 SLICE = 1 << 18
 FRONTIER = 1 << 14
-BANDS, ROWS = 16, 4  # together the 64 MinHashes
+BANDS, ROWS = 16, 4  # together 64 of the MinHashes
 SHINGLE = 5
-CHECK_RADIUS = 13
+CHECK_BITS = 512
+CHECK_RADIUS = 66
+CHECKS = [f"c{i}" for i in range(CHECK_BITS // 64)]
 
 
 def simhash(raw: bytes, width: int = WIDTH) -> int:
@@ -80,8 +85,7 @@ def _hash_all(items: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in items), dtype=np.uint64, count=len(items))
 
 
-_BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
-_FACTORS = _mixed(np.arange(64, dtype=np.uint64), 1) | np.uint64(1)
+_FACTORS = _mixed(np.arange(CHECK_BITS, dtype=np.uint64), 1) | np.uint64(1)
 
 
 def shingles_of(raw: bytes) -> set[bytes]:
@@ -93,16 +97,16 @@ def shingles_of(raw: bytes) -> set[bytes]:
 
 
 def sketches(raw: bytes) -> list[int]:
-    """``BANDS`` prints, each a hash of ``ROWS`` MinHashes of the five-word shingles, and a 64-bit sketch of one bit of every MinHash."""
+    """``BANDS`` prints, each a hash of ``ROWS`` MinHashes of the five-word shingles, and a sketch of one bit of each of ``CHECK_BITS`` MinHashes."""
     g = _hash_all(list(shingles_of(raw)))
-    low = np.full(BANDS * ROWS, 2**64 - 1, dtype=np.uint64)
-    for at in range(0, len(g), 1 << 12):
-        low = np.minimum(low, (g[at : at + (1 << 12), None] * _FACTORS[None, :]).min(axis=0))
+    low = np.full(CHECK_BITS, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(g), 1 << 9):
+        low = np.minimum(low, (g[at : at + (1 << 9), None] * _FACTORS[None, :]).min(axis=0))
     low = _mixed(low, 2)
     prints = np.zeros(BANDS, dtype=np.uint64)
     for k in range(ROWS):
-        prints = _mixed(prints ^ low[k::ROWS], 3)
-    return [*prints.tolist(), int(_BITS[(low & np.uint64(1)).astype(bool)].sum(dtype=np.uint64))]
+        prints = _mixed(prints ^ low[k : BANDS * ROWS : ROWS], 3)
+    return [*prints.tolist(), *np.packbits((low & np.uint64(1)).astype(bool), bitorder="little").view(np.uint64).tolist()]
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -118,41 +122,60 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, fp bigint")
 
 
-def blocks_for(n: int, radius: int = RADIUS, per_subtree: int = 64) -> int:
-    """The fewest blocks whose subtrees hold about ``per_subtree`` of ``n`` spread fingerprints."""
+def blocks_for(n: int, radius: int = RADIUS, subtree: int = SUBTREE) -> int:
+    """The fewest blocks whose subtrees can be as small as ``subtree`` of ``n`` spread fingerprints."""
     for blocks in range(radius + 1, 64):
-        if n >> ((64 // blocks) * (blocks - radius)) <= per_subtree:
+        if n >> ((64 // blocks) * (blocks - radius)) <= subtree:
             return blocks
     return 64
 
 
 def spans_of(blocks: int) -> list[tuple[int, int]]:
+    """Lowest bit and width of each block."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
     return [(edges[i], edges[i + 1] - edges[i]) for i in range(blocks)]
 
 
-def tries_of(blocks: int, radius: int) -> list[tuple[int, ...]]:
-    """The blocks that each trie reads first."""
-    return list(combinations(range(blocks), blocks - radius))
+def tries_of(n: int, radius: int = RADIUS, subtree: int = SUBTREE) -> list[tuple[int, int]]:
+    """For each trie the mask of the bits that it reads first and that of up to ``NEXT_BITS`` bits that it reads next, for ``n`` fingerprints.
+
+    Radius 0: all bits come first. Else subtrees of about ``subtree`` spread fingerprints; one trie without lead bits where that's enough.
+    """
+    if radius == 0:
+        return [((1 << 64) - 1, 0)]
+    blocks = blocks_for(n, radius, subtree)
+    lead = max(0, (max(n, 1) - 1) // subtree).bit_length()
+    if not lead:
+        return [(0, ((1 << NEXT_BITS) - 1) << (64 - NEXT_BITS))]
+    top = lambda span, width: ((1 << min(width, span[1])) - 1) << (span[0] + span[1] - min(width, span[1]))
+    spans, out = spans_of(blocks), []
+    for chosen in combinations(range(blocks), blocks - radius):
+        mask, left = 0, lead
+        for k, i in enumerate(chosen):
+            take = min(spans[i][1], -(-left // (len(chosen) - k)))
+            mask |= top(spans[i], take)
+            left -= take
+        first = next(i for i in range(blocks) if i not in chosen)
+        out.append((mask, top(spans[first], NEXT_BITS)))
+    return out
 
 
 def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def lead_mask(blocks: int, chosen: tuple[int, ...]) -> int:
-    spans = spans_of(blocks)
-    return sum(((1 << spans[i][1]) - 1) << spans[i][0] for i in chosen)
-
-
-def remaining_bits(fps: np.ndarray, blocks: int, chosen: tuple[int, ...]) -> np.ndarray:
-    """The bits below the lead blocks, packed."""
-    out, at = np.zeros(len(fps), dtype=np.uint64), 0
-    for i, (start, width) in enumerate(spans_of(blocks)):
-        if i not in chosen:
-            out |= ((fps >> np.uint64(start)) & np.uint64((1 << width) - 1)) << np.uint64(at)
+def remaining_bits(fps: np.ndarray, mask: int) -> tuple[np.ndarray, int]:
+    """The bits outside a mask, packed, and how many they are."""
+    out, at, bit = np.zeros(len(fps), dtype=np.uint64), 0, 0
+    while bit < 64:
+        width = 0
+        while bit + width < 64 and not mask >> (bit + width) & 1:
+            width += 1
+        if width:
+            out |= ((fps >> np.uint64(bit)) & np.uint64((1 << width) - 1)) << np.uint64(at)
             at += width
-    return out
+        bit += width + 1
+    return out, at
 
 
 def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -161,61 +184,72 @@ def _ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(lo - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def join_tries(keys: np.ndarray, low_bits: int, starts: np.ndarray, middles: np.ndarray, ends: np.ndarray, radius: int, check: np.ndarray, check_radius: int) -> np.ndarray:
+def join_tries(
+    keys: np.ndarray, starts: np.ndarray, middles: np.ndarray, ends: np.ndarray, radius: int, check: np.ndarray, check_radius: int, counts: dict[str, int] | None = None
+) -> np.ndarray:
     """A label for each index, equal for the indices that links within a unit connect, from the tries of many units at once.
 
-    ``keys`` ascend within [start, middle) and within [middle, end) of a unit and hold the unit's number above ``low_bits`` bits. If
-    middle == end the unit joins one trie with itself, else its two tries. The walk takes ``FRONTIER`` node pairs at a time, deepest and
-    nearest first, and drops pairs whose leaves are connected already, so a dense group costs neither memory nor all its pairs.
+    ``keys`` ascend within [start, middle) and within [middle, end) of a unit; ``check`` has a row for each. If
+    middle == end the unit joins one trie with itself, else its two tries. The walk takes ``FRONTIER`` node pairs at a time and
+    drops pairs whose leaves are connected already, so a dense group costs neither memory nor all its pairs.
+    ``counts``, if given, gets the numbers of node pairs ``visited``, ``pruned`` for their bits, ``tied`` already, and ``leaves`` met.
     """
     label = np.arange(len(keys))
-    selfs = middles == ends
-    todo = [(0, starts, middles, np.where(selfs, starts, middles), ends, np.zeros(len(starts), dtype=np.int8))]
     runs = np.arange(len(keys))
+    selfs = middles == ends
+    todo = [(starts, middles, np.where(selfs, starts, middles), ends)]
+    count = counts if counts is not None else {}
     while todo:
-        depth, a_lo, a_hi, b_lo, b_hi, err = todo.pop()
+        a_lo, a_hi, b_lo, b_hi = todo.pop()
         if len(a_lo) > FRONTIER:
-            order = np.argsort(-err, kind="stable")
-            a_lo, a_hi, b_lo, b_hi, err = (x[order] for x in (a_lo, a_hi, b_lo, b_hi, err))
-            todo += [(depth, *(x[i : i + FRONTIER] for x in (a_lo, a_hi, b_lo, b_hi, err))) for i in range(0, len(a_lo), FRONTIER)]
+            todo += [tuple(x[i : i + FRONTIER] for x in (a_lo, a_hi, b_lo, b_hi)) for i in range(0, len(a_lo), FRONTIER)]
             continue
+        same = a_lo == b_lo
+        a_bit, b_bit = _highest(keys[a_lo] ^ keys[a_hi - 1]), _highest(keys[b_lo] ^ keys[b_hi - 1])
+        bit = np.maximum(a_bit, b_bit)
+        # all that both nodes have read: the bits above the first one where either branches
+        read = ~np.where(bit == 0, np.uint64(0), (bit << np.uint64(1)) - np.uint64(1))
+        near = np.bitwise_count((keys[a_lo] ^ keys[b_lo]) & read) <= radius
         tied = (runs[a_lo] == runs[a_hi - 1]) & (runs[b_lo] == runs[b_hi - 1]) & (label[a_lo] == label[b_lo])
-        few = (((a_hi - a_lo) * (b_hi - b_lo) <= BRUTE) | (depth >= low_bits)) & ~tied
-        if few.any():
-            fresh = _leaf_links(keys, a_lo[few], a_hi[few], b_lo[few], b_hi[few], radius, check, check_radius, label)
+        leaf = bit == 0
+        for name, n in (("visited", len(near)), ("pruned", (~near).sum()), ("tied", (near & tied).sum()), ("leaves", (near & ~tied & leaf).sum())):
+            count[name] = count.get(name, 0) + int(n)
+        met = near & ~tied & leaf
+        if met.any():
+            flip = met & (a_lo > b_lo)
+            a_lo[flip], a_hi[flip], b_lo[flip], b_hi[flip] = b_lo[flip], b_hi[flip], a_lo[flip], a_hi[flip]
+            fresh = _leaf_links(keys, a_lo[met], a_hi[met], b_lo[met], b_hi[met], radius, check, check_radius, label)
             if fresh is not label:
                 label = fresh
                 runs = np.r_[0, np.cumsum(label[1:] != label[:-1])]
-        many = ~few & ~tied
-        a_lo, a_hi, b_lo, b_hi, err = a_lo[many], a_hi[many], b_lo[many], b_hi[many], err[many]
+        deep = near & ~tied & ~leaf
+        a_lo, a_hi, b_lo, b_hi, a_bit, b_bit, same = (x[deep] for x in (a_lo, a_hi, b_lo, b_hi, a_bit, b_bit, same))
         if not len(a_lo):
             continue
-        bit = np.uint64(1 << (low_bits - 1 - depth))
-        above = ~np.uint64((1 << (low_bits - depth)) - 1)
-        a_mid, b_mid = _child(keys, a_lo, a_hi, bit, above), _child(keys, b_lo, b_hi, bit, above)
-        same = (a_lo == b_lo) & (a_hi == b_hi)
-        kept = []
-        for al, ah, bl, bh, e, skip in (
-            (a_lo, a_mid, b_mid, b_hi, err + 1, None),
-            (a_mid, a_hi, b_lo, b_mid, err + 1, same),
-            (a_lo, a_mid, b_lo, b_mid, err, None),
-            (a_mid, a_hi, b_mid, b_hi, err, None),
-        ):
-            ok = (al < ah) & (bl < bh) & (e <= radius)
-            if skip is not None:
-                ok &= ~skip
-            kept.append((al[ok], ah[ok], bl[ok], bh[ok], e[ok].astype(np.int8)))
-        todo.append((depth + 1, *(np.concatenate(x) for x in zip(*kept, strict=True))))
+        split_a = a_bit >= b_bit
+        lo, hi = np.where(split_a, a_lo, b_lo), np.where(split_a, a_hi, b_hi)
+        mid = _child(keys, lo, hi, np.where(split_a, a_bit, b_bit))
+        one, two = same, ~same
+        other_lo, other_hi = np.where(split_a, b_lo, a_lo)[two], np.where(split_a, b_hi, a_hi)[two]
+        # two nodes: the children of the one that branches first with the other; a node with itself: its children with each other and, walked first, with themselves
+        pairs = ((lo[two], mid[two], other_lo, other_hi), (mid[two], hi[two], other_lo, other_hi), (lo[one], mid[one], mid[one], hi[one]), (lo[one], mid[one], lo[one], mid[one]), (mid[one], hi[one], mid[one], hi[one]))
+        todo.append(tuple(np.concatenate(x) for x in zip(*pairs, strict=True)))
     return label
 
 
-def _child(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.uint64, above: np.uint64) -> np.ndarray:
-    """Where the 1-child of each node begins: a binary search in all nodes at once."""
-    goal = (keys[lo] & above) | bit
+def _highest(x: np.ndarray) -> np.ndarray:
+    """The highest set bit of each number, alone; 0 for 0."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        x = x | (x >> np.uint64(shift))
+    return x ^ (x >> np.uint64(1))
+
+
+def _child(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    """Where the 1-child of each node begins, whose leaves first differ in ``bit``: a binary search in all nodes at once."""
     lo, hi = lo.copy(), hi.copy()
     while (lo < hi).any():
         m = (lo + hi) >> 1
-        up = (lo < hi) & (keys[np.minimum(m, len(keys) - 1)] < goal)
+        up = (lo < hi) & ((keys[np.minimum(m, len(keys) - 1)] & bit) == 0)
         lo, hi = np.where(up, m + 1, lo), np.where(up | (lo >= hi), hi, m)
     return lo
 
@@ -240,9 +274,11 @@ def _leaf_links(keys: np.ndarray, a_lo: np.ndarray, a_hi: np.ndarray, b_lo: np.n
         right = np.repeat(b_lo[at:to], n * m) + _ranges(np.zeros(len(n), dtype=np.int64), n * m) % np.repeat(m, n * m)
         near = (left < right) & (np.bitwise_count(keys[left] ^ keys[right]) <= radius)
         left, right = left[near], right[near]
-        near = np.bitwise_count(check[left] ^ check[right]) <= check_radius
-        if near.any():
-            label = forest(len(keys), left[near], right[near], label)
+        if check.shape[1]:
+            near = np.bitwise_count(check[left] ^ check[right]).sum(axis=1) <= check_radius
+            left, right = left[near], right[near]
+        if len(left):
+            label = forest(len(keys), left, right, label)
         at = to
     return label
 
@@ -263,48 +299,60 @@ def forest(n: int, left: np.ndarray, right: np.ndarray, label: np.ndarray | None
     return label
 
 
-def _unit_links(rows: dict[str, np.ndarray], blocks: int, radius: int, check_radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of the units in ``rows`` (columns trie, unit, side, fp, node, check; units are contiguous)."""
-    tries = tries_of(blocks, radius)
+def _unit_links(rows: dict[str, np.ndarray], tries: list[tuple[int, int]], radius: int, check_radius: int, counts: dict[str, int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of the units in ``rows`` (columns trie, unit, side, fp, node, and check with a row for each; units are contiguous)."""
     fps = rows["fp"].view(np.uint64)
-    rest, low_bits = np.zeros(len(fps), dtype=np.uint64), 0
+    rest = np.zeros(len(fps), dtype=np.uint64)
     for t in np.unique(rows["trie"]):
         pick = rows["trie"] == t
-        chosen = tries[t % len(tries)]
-        rest[pick] = remaining_bits(fps[pick], blocks, chosen)
-        low_bits = max(low_bits, 64 - sum(spans_of(blocks)[i][1] for i in chosen))
-    unit = rows["unit"].astype(np.uint64)
-    order = np.lexsort((rest, rows["side"], unit))
-    rest, unit, side, node, check = rest[order], unit[order], rows["side"][order], rows["node"][order], rows["check"][order].view(np.uint64)
-    keys = rest | (unit << np.uint64(low_bits))
+        rest[pick] = remaining_bits(fps[pick], tries[t % len(tries)][0])[0]
+    order = np.lexsort((rest, rows["side"], rows["unit"]))
+    keys, unit, side, node, check = rest[order], rows["unit"][order], rows["side"][order], rows["node"][order], rows["check"][order]
     starts = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1]])
     ends = np.r_[starts[1:], len(unit)]
     two = np.add.reduceat(side, starts)
     middles = np.where(two == 0, ends, ends - two)
-    label = join_tries(keys, low_bits, starts, middles, ends, radius, check, check_radius)
+    both = middles > starts  # a unit of two parts may lack one of them
+    label = join_tries(keys, starts[both], middles[both], ends[both], radius, check, check_radius, counts)
     tied = np.flatnonzero(label != np.arange(len(node)))
     return node[tied], node[label[tied]]
 
 
-def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_LIMIT, check_radius: int = 64) -> DataFrame:
+def trie_units(prints: DataFrame, radius: int, leaf_limit: int, checks: list[str]) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """``(trie, key, i, j, side, fp, node, *checks)``: the rows of each unit of work, and the tries that were made.
+
+    A unit is a subtree (``trie``, ``key``) or, in a large one, a pair of its parts ``i <= j``, the rows of ``j`` on side 1.
+    """
+    most, rows = prints.groupBy("seed").count().agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    tries = tries_of(most, radius)
+    mask = lambda m: F.lit(m - (1 << 64) if m >> 63 else m)
+    # the next bits, brought to the low end of the word
+    after = lambda m: F.shiftrightunsigned(F.col("fp").bitwiseAND(mask(m)), (m & -m).bit_length() - 1).cast("int") if m else F.lit(0)
+    lead = F.array(*(F.struct((F.col("seed") * len(tries) + t).cast("int").alias("trie"), F.col("fp").bitwiseAND(mask(m)).alias("key"), after(a).alias("next")) for t, (m, a) in enumerate(tries)))
+    keyed = prints.where("fp is not null").select("fp", "node", *checks, F.explode(lead).alias("s")).select("fp", "node", *checks, "s.*")
+    # a subtree of more than leaf_limit has a part for each value of its next bits, and several by hash for a value that has more than leaf_limit
+    sizes = keyed.groupBy("trie", "key", "next").agg(F.count("*").alias("n")).groupBy("trie", "key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("next", "n")).alias("nexts")).where("n > 1")
+    parts = sizes.select("trie", "key", F.expr(f"if(n > {leaf_limit}, transform(nexts, x -> struct(x.next as next, cast(ceil(x.n / {leaf_limit}) as int) as parts)), null) as parts"))
+    # written before they are joined, so that the rows of a giant subtree can be split
+    parts = materialize(parts, "subtrees", rows * len(tries) // 2)
+    met = keyed.join(parts, ["trie", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.lit(1 << 20)).cast("int"))
+    # the parts, as next * 2^20 + number, that a row's part meets
+    own = "next * 1048576L + own % filter(parts, x -> x.next = next)[0].parts"
+    theirs = f"flatten(transform(filter(parts, x -> bit_count(x.next ^ next) <= {radius}), x -> transform(sequence(0, x.parts - 1), p -> x.next * 1048576L + p)))"
+    seats = f"if(parts is null, array(struct(0L as i, 0L as j, 0 as side)), transform({theirs}, p -> struct(least(p, {own}) as i, greatest(p, {own}) as j, if(p < {own}, 1, 0) as side)))"
+    return met.withColumn("s", F.explode(F.expr(seats))).select("trie", "key", "s.i", "s.j", "s.side", "fp", "node", *checks), tries
+
+
+def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_LIMIT, checks: list[str] | None = None, check_radius: int = 0) -> DataFrame:
     """``(u, v)``: links between nodes whose components are those of all linked pairs.
 
-    ``prints`` has ``(seed int, fp bigint, node bigint, check bigint)``; two nodes are linked if for one seed their ``fp`` differ in at most
-    ``radius`` bits and their ``check`` in at most ``check_radius``. A node has one row for each seed at most. Null ``fp`` link nothing.
+    ``prints`` has ``(seed int, fp bigint, node bigint)`` and the bigint columns ``checks``; two nodes are linked if for one seed their ``fp`` differ in at most
+    ``radius`` bits and their ``checks`` in at most ``check_radius`` altogether. A node has one row for each seed at most. Null ``fp`` link nothing.
     """
-    spark = prints.sparkSession
-    most = prints.groupBy("seed").count().agg(F.max("count")).first()[0] or 0
-    blocks = blocks_for(most, radius)
-    tries = tries_of(blocks, radius)
-    lead = F.array(*(F.struct((F.col("seed") * len(tries) + t).cast("int").alias("trie"), F.col("fp").bitwiseAND(F.lit(_signed(lead_mask(blocks, c)))).alias("key")) for t, c in enumerate(tries)))
-    keyed = prints.where("fp is not null").select("fp", "node", "check", F.explode(lead).alias("s")).select("fp", "node", "check", "s.trie", "s.key")
-    sizes = keyed.groupBy("trie", "key").agg(F.count("*").alias("n")).where("n > 1")
-    parts = sizes.select("trie", "key", F.ceil(F.col("n") / leaf_limit).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    seats = F.expr("transform(sequence(0, parts - 1), p -> struct(least(p, own) as i, greatest(p, own) as j, if(p < own, 1, 0) as side))")
-    dealt = keyed.join(parts, ["trie", "key"]).withColumn("own", own).withColumn("s", F.explode(seats)).select("trie", "key", "s.i", "s.j", "s.side", "fp", "node", "check")
+    spark, checks = prints.sparkSession, checks or []
+    dealt, tries = trie_units(prints, radius, leaf_limit, checks)
     unit = ["trie", "key", "i", "j"]
-    rows_limit, batch_rows = 1 << 12, 1 << 11  # under 2^12 units at once, so that their number fits above the key's bits
+    rows_limit = 1 << 14
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -312,7 +360,8 @@ def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_L
         def links(table: pa.Table) -> pa.RecordBatch:
             c = {n: table.column(n).to_numpy() for n in table.schema.names}
             new = np.r_[False, np.logical_or.reduce([c[k][1:] != c[k][:-1] for k in unit])]
-            u, v = _unit_links(c | {"unit": np.cumsum(new), "side": c["side"].astype(np.int64)}, blocks, radius, check_radius)
+            check = np.stack([c[k].view(np.uint64) for k in checks], axis=1) if checks else np.zeros((table.num_rows, 0), dtype=np.uint64)
+            u, v = _unit_links({"trie": c["trie"], "fp": c["fp"], "node": c["node"], "unit": np.cumsum(new), "side": c["side"].astype(np.int64), "check": check}, tries, radius, check_radius)
             return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
         for b in batches:
@@ -327,7 +376,7 @@ def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_L
         if held is not None and held.num_rows:
             yield links(held)
 
-    small_batches(spark, batch_rows)
+    small_batches(spark)
     pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return dealt.repartition(pieces, *unit).sortWithinPartitions(*unit).mapInArrow(run, "u bigint, v bigint")
 
@@ -339,6 +388,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     """
     pairs = materialize(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v"), label)
     now = materialize(pairs.distinct(), label, pairs.count())
+    release(pairs)
     mark = None
     while True:
         seen = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
@@ -352,7 +402,8 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
         large = materialize(large, label, 2 * seen["n"])
         least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), label, seen["n"])
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
-        now = materialize(small, label, 2 * seen["n"])
+        before, now = now, materialize(small, label, 2 * seen["n"])
+        release(before, low, large, least)
 
 
 def _hex(value: Column) -> Column:
@@ -368,24 +419,25 @@ def groups(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH) -> DataFra
     prints = materialize(fingerprint_documents(docs, width=width), "simhash")
     n = prints.count()
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints", n)
-    nodes = distinct.select(F.lit(0).alias("seed"), "fp", F.col("fp").alias("node"), F.lit(0).cast("bigint").alias("check"))
+    nodes = distinct.select(F.lit(0).alias("seed"), "fp", F.col("fp").alias("node"))
     roots = components(trie_links(nodes, radius), "stars")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    rooted = materialize(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")), "rooted", n)
+    # written before it is joined, so that the rows of a giant component can be split
+    lowest = materialize(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "lowest", n)
     classes = materialize(rooted.join(lowest, "root").select("fp", "component_id"), "classes", n)
     return sized(prints.join(classes, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id"), n)
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, f0 .. f15, check, digest)``: the sketches of every whole text, and its XXH64 as Spark has it; null text counts as empty."""
+    """``(doc_id, f0 .. f15, c0 .. c7, digest)``: the sketches of every whole text, and its XXH64 as Spark has it; null text counts as empty."""
     small_batches(docs.sparkSession)
-    names = ["doc_id", *(f"f{i}" for i in range(BANDS)), "check", "digest"]
+    names = ["doc_id", *(f"f{i}" for i in range(BANDS)), *CHECKS, "digest"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]
-            made = np.array([[*sketches(t), xxhash.xxh64_intdigest(t, SEED)] for t in texts], dtype=np.uint64).reshape(-1, BANDS + 2)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(BANDS + 2))], names=names)
+            made = np.array([[*sketches(t), xxhash.xxh64_intdigest(t, SEED)] for t in texts], dtype=np.uint64).reshape(-1, len(names) - 1)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(np.ascontiguousarray(made[:, i]).view(np.int64)) for i in range(len(names) - 1))], names=names)
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return slim.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
@@ -401,11 +453,11 @@ def keep_one_of_each(docs: DataFrame, radius: int = 0, check_radius: int = CHECK
     own = [f"f{i}" for i in range(BANDS)]
     known = made.where("doc_id is not null")
     twice = known.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    first = known.groupBy(*own, "check").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
-    classes = materialize(first.withColumn("node", F.xxhash64(*own, "check") if twice else F.col("first.doc_id")), "copies", made.count())
+    first = known.groupBy(*own, *CHECKS).agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    classes = materialize(first.withColumn("node", F.xxhash64(*own, *CHECKS) if twice else F.col("first.doc_id")), "copies", made.count())
     seeds = F.explode(F.array(*(F.struct(F.lit(i).alias("seed"), F.col(f).alias("fp")) for i, f in enumerate(own))))
-    nodes = classes.select("node", "check", seeds.alias("s")).select("s.seed", "s.fp", "node", "check")
-    roots = components(trie_links(nodes, radius, check_radius=check_radius), "near-copies")
+    nodes = classes.select("node", *CHECKS, seeds.alias("s")).select("s.seed", "s.fp", "node", *CHECKS)
+    roots = components(trie_links(nodes, radius, checks=CHECKS, check_radius=check_radius), "near-copies")
     # one plan at every size: texts are dealt out by id, and ids are never sent whole to all machines
     if twice:
         rooted = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")

@@ -52,13 +52,14 @@ def test_groups_against_all_pairs(spark, edge_docs, small_dir):
     _check_groups(spark.read.parquet(f"{small_dir}/documents.parquet"))
 
 
-@pytest.mark.parametrize("limit", [4096, 16])
-def test_trie_join_against_all_pairs(spark, limit):
+@pytest.mark.parametrize(("limit", "subtree"), [(4096, 512), (16, 512), (4096, 20), (16, 20), (4, 1)])
+def test_trie_join_against_all_pairs(spark, monkeypatch, limit, subtree):
+    monkeypatch.setattr(s.tries_of, "__defaults__", (4, subtree))
     rng = random.Random(limit)
     centre = [rng.getrandbits(64) for _ in range(12)]
     fps = list({c ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for c in centre for _ in range(25)})
     signed = np.array(fps, dtype=np.uint64).view(np.int64).tolist()
-    nodes = spark.createDataFrame([(0, f, i, 0) for i, f in enumerate(signed)], "seed int, fp bigint, node bigint, check bigint")
+    nodes = spark.createDataFrame([(0, f, i) for i, f in enumerate(signed)], "seed int, fp bigint, node bigint")
     root = {r["node"]: r["root"] for r in s.components(s.trie_links(nodes, 4, limit)).collect()}
     assert [root.get(i, i) for i in range(len(fps))] == _classes(fps)
 
@@ -69,8 +70,35 @@ def test_components_of_a_long_chain(spark):
     assert all(root[i] == 0 for i in range(61)) and root[101] == 100
 
 
-def test_blocks_grow_with_the_table():
-    assert s.blocks_for(1000) == 5 and s.blocks_for(10**8) > 5 and s.blocks_for(10**11) > s.blocks_for(10**8)
+def test_tries_grow_with_the_table():
+    assert len(s.tries_of(500)) == 1 and len(s.tries_of(10**6)) == 5 and len(s.tries_of(10**8)) == 15 and len(s.tries_of(10**10)) == 35
+    for n in (500, 10**4, 10**6, 10**8, 10**10):
+        for lead, after in s.tries_of(n):
+            assert n >> lead.bit_count() <= s.SUBTREE and not lead & after
+
+
+def _units(spark, path):
+    prints = s.fingerprint_documents(spark.read.parquet(path)).select("fp").distinct()
+    units, tries = s.trie_units(prints.selectExpr("0 as seed", "fp", "fp as node"), 4, s.LEAF_LIMIT, [])
+    got = units.toPandas().sort_values(["trie", "key", "i", "j"], kind="stable")
+    new = (got[["trie", "key", "i", "j"]] != got[["trie", "key", "i", "j"]].shift()).any(axis=1)
+    rows = {c: got[c].to_numpy() for c in ("trie", "fp", "node")} | {"unit": new.cumsum().to_numpy(), "side": got["side"].to_numpy().astype(np.int64)}
+    return rows | {"check": np.zeros((len(got), 0), dtype=np.uint64)}, tries
+
+
+def test_the_walk_decides(spark):
+    """On the query's own table: node pairs are dropped by their bits far above the leaves, few leaf pairs are met, and the links are those of all pairs."""
+    rows, tries = _units(spark, "/root/testdata/sf0.01/documents.parquet")
+    counts = {}
+    u, v = s._unit_links(rows, tries, 4, 0, counts)
+    sizes = np.bincount(rows["unit"])[1:]
+    leaf_pairs = int((sizes * (sizes - 1) // 2).sum())
+    assert counts["visited"] > len(sizes) * 100 and counts["pruned"] > 50 * counts["leaves"]
+    assert counts["leaves"] < leaf_pairs / 50
+    fps = sorted(set(rows["fp"].tolist()))
+    root = {x: s.forest(len(fps), np.searchsorted(fps, u), np.searchsorted(fps, v))[i] for i, x in enumerate(fps)}
+    classes = _classes([f & (2**64 - 1) for f in fps])
+    assert [root[f] for f in fps] == classes
 
 
 def _near(rng, text, edits):
@@ -118,11 +146,12 @@ def test_stage_finds_block_edits(spark):
     assert len(alike & kept) <= 3  # 99 % are found
 
 
-def test_many_equal_prints(spark):
+@pytest.mark.parametrize("limit", [4096, 100])
+def test_many_equal_prints(spark, limit):
     rng = random.Random(6)
     checks = [rng.getrandbits(63) for _ in range(3)]
     nodes = [(0, 7, i, checks[i % 3]) for i in range(1500)]
-    links = s.trie_links(spark.createDataFrame(nodes, "seed int, fp bigint, node bigint, check bigint"), 0, check_radius=0)
+    links = s.trie_links(spark.createDataFrame(nodes, "seed int, fp bigint, node bigint, check bigint"), 0, leaf_limit=limit, checks=["check"])
     root = {r["node"]: r["root"] for r in s.components(links).collect()}
     assert [root.get(i, i) for i in range(1500)] == [i % 3 for i in range(1500)]
 
