@@ -4,6 +4,10 @@ Records with equal payloads of at least ``MIN_REVISIT`` bytes: that with the lar
 revisits that refer to it and hold no payload. Files are written by tasks straight into the shared folder, under names no
 other attempt uses, and only files whose task finished are listed in the manifest, so a lost or repeated task leaves
 nothing that is read. Memory: a writer holds one page, the reader 64 KiB of a record.
+
+A record's id is made from its page's id, so pages that share an id share it too. A revisit holds no payload: its payload's length is
+in a header of its own, ``X-Payload-Length`` (which the reader checks on all other records), and its digest in ``WARC-Payload-Digest``;
+``unresolved`` lists the revisits whose digest isn't that of a response with the id to which they refer.
 """
 
 from __future__ import annotations
@@ -142,12 +146,15 @@ def read_records(read: Callable[[int], bytes], keep_payload: bool = False) -> It
 def with_record_types(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """``(page_id, url, payload, revisit, refers_to)``: which pages repeat the payload of a page with a larger id."""
     slim = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-    slim = slim.withColumn("digest", F.unhex(F.sha1("payload")))
-    large = slim.where(F.octet_length("payload") >= min_revisit)
+    own = ["page_id", "url", "payload"]
+    # small pages need no partner, so they aren't shuffled
+    small = slim.where(F.octet_length("payload") < min_revisit).select(*own, F.lit(False).alias("revisit"), F.lit(None).cast("bigint").alias("refers_to"))
+    large = slim.where(F.octet_length("payload") >= min_revisit).withColumn("digest", F.unhex(F.sha1("payload")))
     keepers = large.groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = slim.join(keepers, "digest", "left")
-    revisit = F.coalesce((F.octet_length("payload") >= min_revisit) & ~F.col("page_id").eqNullSafe(F.col("keeper")) & F.col("keeper").isNotNull(), F.lit(False))
-    return met.select("page_id", "url", "payload", revisit.alias("revisit"), F.when(revisit, F.col("keeper")).alias("refers_to"))
+    # written before they are joined, so that the join's sides are plain exchanges and the rows of a very common payload can be split
+    met = large.join(materialize(keepers, "warc-keepers"), "digest", "left")
+    revisit = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
+    return met.select(*own, revisit.alias("revisit"), F.when(revisit, F.col("keeper")).alias("refers_to")).unionByName(small)
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit: int = MIN_REVISIT, file_bytes: int = FILE_BYTES) -> DataFrame:
@@ -211,3 +218,9 @@ def read_archives(manifest: DataFrame) -> DataFrame:
     files = manifest.count()
     spread = max(1, min(files, 10_000))
     return manifest.select("path").repartition(spread).mapInArrow(run, RECORDS_DDL)
+
+
+def unresolved(records: DataFrame) -> DataFrame:
+    """The revisits among ``records`` (of ``read_archives``) that no response with their digest, length and referred id stands for."""
+    stored = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes")
+    return records.where("record_type = 'revisit'").join(stored, ["refers_to", "payload_digest", "payload_bytes"], "left_anti").select(*RECORDS.names)

@@ -34,7 +34,16 @@ def _want(pages):
 def test_round_trip(spark):
     manifest = warc.write_archives(_pages(spark), fresh_path(spark, "warc"), file_bytes=800)
     assert sum(r["n_records"] for r in manifest.collect()) == len(PAGES) and manifest.count() > 3
-    assert sorted((tuple(r) for r in warc.read_archives(manifest).collect()), key=repr) == _want(PAGES)
+    records = warc.read_archives(manifest)
+    assert sorted((tuple(r) for r in records.collect()), key=repr) == _want(PAGES)
+    assert warc.unresolved(records).count() == 0 and warc.unresolved(records.where("page_id <> 7")).count() == 2
+
+
+def test_a_hot_payload_can_be_split(spark):
+    """Small pages bypass the join, and its sides are plain exchanges."""
+    plan = warc.with_record_types(_pages(spark))._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin") :] if "SortMergeJoin" in plan else plan[plan.index("BroadcastHashJoin") :]
+    assert "HashAggregate" not in join and plan.index("Union") < plan.index("Join")
 
 
 def test_members_and_payloads(spark):
