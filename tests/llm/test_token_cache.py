@@ -21,13 +21,14 @@ def test_counts_are_the_librarys(spark, edge_docs, no_docs):
     assert t.count_tokens(no_docs, PIECES, fresh_path(spark, "tokens")).count() == 0
 
 
-def test_only_misses_are_encoded(spark):
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_only_misses_are_encoded(spark, monkeypatch, sent):
+    monkeypatch.setattr(t, "SENT", sent)
     docs = spark.createDataFrame([(i, f"text {i % 3}") for i in range(30)], "doc_id bigint, text string")
     cache = fresh_path(spark, "tokens")
-    t.fill_cache(docs, PIECES, cache)
-    assert spark.read.parquet(cache).count() == 3
-    t.fill_cache(docs.unionByName(spark.createDataFrame([(99, "new")], docs.schema)), PIECES, cache)
-    assert spark.read.parquet(cache).count() == 4
+    assert t.fill_cache(docs, PIECES, cache) == 3 and spark.read.parquet(cache).count() == 3
+    assert t.fill_cache(docs.unionByName(spark.createDataFrame([(99, "new")], docs.schema)), PIECES, cache) == 1
+    assert spark.read.parquet(cache).count() == 4 and t.fill_cache(docs, PIECES, cache) == 0
     other = public_tokenizers.path("byte_bpe_50k.json")
     t.fill_cache(docs, other, cache)
     assert spark.read.parquet(cache).count() == 7 and t.tokenizer_digest(other) != t.tokenizer_digest(PIECES)
