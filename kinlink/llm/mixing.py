@@ -51,10 +51,17 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 
 def source_table(sized: DataFrame) -> DataFrame:
-    """``(source, source_size, weight)``: one row per source, null included."""
+    """``(source, source_size, weight)``: one row per source, null included.
+
+    Sources are sorted by ranges, in many tasks; their ranks are their places in a range and the sizes of the ranges before it.
+    """
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
-    return sums.select("source", "source_size", ((rank - 1) % CYCLE + 1).alias("weight"))
+    placed = materialize(sums.orderBy(F.col("source").asc_nulls_last()).withColumn("place", F.monotonically_increasing_id()), "sorted-sources")
+    placed = placed.withColumn("range", F.shiftright("place", 33)).withColumn("place", F.col("place").bitwiseAND((1 << 33) - 1))
+    # a row for each shuffle partition at most
+    before = placed.groupBy("range").count().withColumn("before", F.coalesce(F.sum("count").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranked = placed.join(F.broadcast(before), "range")
+    return ranked.select("source", "source_size", ((F.col("place") + F.col("before")) % CYCLE + 1).cast("int").alias("weight"))
 
 
 def repetitions(sized: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
@@ -111,9 +118,9 @@ def mix_report(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED)
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
     """The mixture itself: every document as often as it is taken, numbered by ``repetition`` from 0, with its columns as they are.
 
-    Documents without words are taken as often as their source's whole repetitions and draw say; null ids are drawn as one.
+    If ``docs`` has a column ``repetition`` already, the number's name gets underscores before it. Documents without words are taken as often as their source's whole repetitions and draw say; null ids are drawn as one.
     """
-    own = [c for c in docs.columns if c.lower() != "repetition"]
+    own, number = docs.columns, free_name(docs, "repetition")
     size, place, plan_id, plan_source, plan_size, repeats = (free_name(docs, n) for n in ("mix_size", "mix_place", "mix_id", "mix_source", "mix_words", "mix_repeats"))
     sized = materialize(docs.select("doc_id", "source", word_count(blank_null("text")).alias("size")), "sizes")
     plan = repetitions(sized, max_epochs, seed).groupBy(F.col("doc_id").alias(plan_id), F.col("source").alias(plan_source), F.col("size").alias(plan_size))
@@ -126,7 +133,7 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> Data
     # one plan at every size: texts are dealt out by id, and the plan is never sent whole to all machines
     joined = numbered.join(plan.hint("merge"), F.col("doc_id").eqNullSafe(F.col(plan_id)) & F.col("source").eqNullSafe(F.col(plan_source)) & (F.col(size) == F.col(plan_size)))
     times = F.element_at(repeats, F.col(place)).cast("int")
-    kept = joined.where(times > 0).select(*(F.col(f"`{c}`") for c in own), F.explode(F.sequence(F.lit(0), times - 1)).alias("repetition"))
+    kept = joined.where(times > 0).select(*(F.col(f"`{c}`") for c in own), F.explode(F.sequence(F.lit(0), times - 1)).alias(number))
     return kept
 
 

@@ -72,3 +72,18 @@ def test_mixture_has_the_planned_repeats(spark, small_dir):
         times.setdefault(r["doc_id"], []).append(r["repetition"])
     assert all(sorted(v) == list(range(len(v))) for v in times.values())
     assert all(len(times.get(i, [])) * size == taken for i, (taken, size) in plan.items())
+
+
+def test_a_column_named_repetition_stays(spark):
+    docs = spark.createDataFrame([(i, "a", "one two three", f"r{i}") for i in range(4)], "doc_id bigint, source string, text string, Repetition string")
+    rows = m.mix(docs).collect()
+    assert rows[0].__fields__ == ["doc_id", "source", "text", "Repetition", "_repetition"]
+    assert all(r["Repetition"] == f"r{r['doc_id']}" for r in rows) and {r["_repetition"] for r in rows} == {0}
+
+
+def test_weights_follow_the_order_of_sources(spark):
+    names = [None, "", *(f"s{i:03d}" for i in range(200)), "é", "\U0001f600", "\uffff"]
+    sized = spark.createDataFrame([(n, 1) for n in names], "source string, size bigint").repartition(9)
+    got = {r["source"]: r["weight"] for r in m.source_table(sized).collect()}
+    want = [*sorted((n for n in names if n is not None), key=lambda x: x.encode()), None]
+    assert got == {n: i % 3 + 1 for i, n in enumerate(want)}
