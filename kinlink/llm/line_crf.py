@@ -5,8 +5,8 @@ it; a 2 x 2 transition table ties neighbours. Forward-backward gives each line's
 document's quality is the mean of its lines' marginals, weighted by length, put through a logistic curve that was fitted
 on the training documents (so that 0.5 parts the classes at their natural rates). Only a text's characters are looked at.
 
-Training takes at most ``SAMPLE`` labelled documents of each class and of ``SAMPLE_BYTES`` at most (a bounded, documented
-sample, drawn by digest over all labels); each line bears its document's label. Scoring reads every line of every text.
+Training takes at most ``SAMPLE`` labelled documents of each class, of ``SAMPLE_BYTES`` and ``SAMPLE_LINES`` at most (a bounded, documented
+sample, drawn by digest over all labels; its features take 74 MB at most); each line bears its document's label. Scoring reads every line of every text.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from kinlink.llm.common import free_name, materialize, small_batches
 
 SAMPLE = 1500
 SAMPLE_BYTES = 1 << 15
+SAMPLE_LINES = 512
 EPOCHS, RATE, PENALTY, BATCH = 40, 0.05, 1e-4, 128
 PADDED = 1 << 18  # lines, padding included, that are scored at once
 _SYMBOL = re.compile(r"[^\w\s.,;:'\"()-]")
@@ -200,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
     """A model of the labelled documents outside the held-out third (crc32 of the id as text, modulo 3, is 1).
 
     Labels count once for each id (the lowest, should they differ); null ids and labels are ignored. The drawn ids are at most four times
-    ``sample`` for each class, and of their documents of at most ``sample_bytes`` the first ``sample`` of each class by digest are used.
+    ``sample`` for each class, and of their documents of at most ``sample_bytes`` and ``SAMPLE_LINES`` lines the first ``sample`` of each class by digest are used.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label_col).cast("int").alias("y"))
@@ -209,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes
     draw = F.xxhash64("doc_id")
     drawn = [known.where(F.col("y") == y).orderBy(draw, "doc_id").limit(4 * sample) for y in (0, 1)]
     ids = materialize(drawn[0].unionByName(drawn[1]), "sample", 8 * sample)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.octet_length("text") <= sample_bytes)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where((F.octet_length("text") <= sample_bytes) & (F.regexp_count("text", F.lit("\n")) < SAMPLE_LINES))
     # the ids are at most 8 * sample, so they are sent to the texts
     rows = texts.join(F.broadcast(ids), "doc_id")
 
