@@ -1,3 +1,5 @@
+import random
+
 from kinlink.llm import decontaminate as d
 
 ITEM = "The shop sold apples. Alice bought 12 apples for 3 dollars and then Alice gave 4 apples to Bob who already had 7 apples at home"
@@ -69,7 +71,7 @@ def test_blocks_and_edges(spark, edge_docs, no_docs):
     bench = spark.createDataFrame([(1, ITEM), (None, "alpha beta gamma delta epsilon zeta eta theta"), (3, None), (4, "")], BENCH)
     leak = edge_docs.unionByName(edge_docs.where("doc_id = 2").selectExpr("77L as doc_id", f"'Intro. {ITEM} End.' as text", "lang", "source", "n_chars", "fp", "score", "size", "seed", "_at", "repeats", "node"))
     want = [(8, None), (9, None), (9, None), (77, 1), (100, None)]
-    for block_bytes in (1 << 20, 40):
+    for block_bytes in (1 << 20, 0):  # by index, by hash join
         got = sorted(((r["doc_id"], r["item_id"]) for r in d.contaminated(leak, bench, block_bytes=block_bytes).collect()), key=repr)
         assert got == sorted(want, key=repr)
         clean = d.drop_contaminated(leak, bench, block_bytes=block_bytes)
@@ -117,14 +119,61 @@ def test_items_of_mostly_numbers(spark):
     for i, item in enumerate(SUMS):
         for text in (item, f"Exercise 4. {item}\nThe end", f"Before it {item.upper()} and after 5 of them"):
             assert found(text) == [i]
-    assert found("What is 13 + 34 * 5? Compute 12 + 34 * 6 - 7. Solve 3x - 5 = 20") == []
+    # other numbers in the same sum are found as well, other signs aren't; numbers alone only as they are
+    changed = lambda t: [(m[0], m[3]) for m in d.matches(t, index, d.Memo(index.known), anchors)]
+    assert changed("What is 13 + 34 * 9? Compute 12 + 34 * 6 - 7. Solve 3x - 5 = 20, or 17 23 42 99 103 1,025") == [(0, True), (1, True)]
+    assert changed("solve 7 x + 9 = 30") == [(2, True)] and changed("Solve 7x + 9 = 30 x")[0][1]
     assert found("---------------------- 12 ============ 34") == []
-    assert index.unseen == [7, 8]
+    # fewer than four words and numbers: as a whole line
+    assert found("All of\n 1 + 2 \nthis") == [7] and found("All of 1 + 2 this") == found("1 + 3") == [] and index.unseen == [8]
     bench = spark.createDataFrame([*enumerate(SUMS), (7, "1 + 2"), (8, None)], BENCH)
-    assert sorted(d.not_looked_for(bench)) == [7, 8]
-    docs = spark.createDataFrame([(i, f"Page {i}. {t} End.") for i, t in enumerate([*SUMS, "Nothing here"])], "doc_id bigint, text string")
-    assert sorted((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, bench).collect()) == [(i, i) for i in range(5)]
-    assert [r["doc_id"] for r in d.drop_contaminated(docs, bench).collect()] == [5]
+    assert [r["item_id"] for r in d.not_looked_for(bench).collect()] == [8]
+    docs = spark.createDataFrame([(i, f"Page {i}. {t} End.") for i, t in enumerate([*SUMS, "Nothing here"])] + [(6, "a\n1 + 2"), (6, "a\n1 + 2")], "doc_id bigint, text string")
+    for block_bytes in (1 << 20, 0):
+        assert sorted((r["doc_id"], r["item_id"]) for r in d.contaminated(docs, bench, block_bytes=block_bytes).collect()) == [*((i, i) for i in range(5)), (6, 7), (6, 7)]
+        assert [r["doc_id"] for r in d.drop_contaminated(docs, bench, block_bytes=block_bytes).collect()] == [5]
+
+
+def test_numeric_questions():
+    for item in ("What is 12 + 7 * 3 - 4 ?", "Solve 3 x + 5 = 20"):
+        index = d.build_index([(1, item)])
+        find = lambda t: [(m[0], m[3]) for m in d.matches(t, index, d.Memo(index.known), d.Anchors(index))]  # noqa: E731, B023
+        assert find(f"Here: {item} And so on.") == [(1, False)]
+        assert find(item.replace("3", "81").replace("20", "99")) == [(1, True)]
+        assert find(item.replace("+", "-")) == []
+
+
+def test_both_joins_agree(spark, small_dir):
+    """The hash join gives the rows of the index, on the query's table and on items with changed slots."""
+    bench = spark.read.parquet(f"{small_dir}/benchmark.parquet").select("item_id", "text")
+    more = [*((1000 + i, t) for i, t in enumerate([*SUMS, ITEM, TOM, TOM, "1 + 2", None, "long " * 30 + " ".join(f"w{i}x" for i in range(200))]))]
+    bench = bench.unionByName(spark.createDataFrame(more, BENCH))
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text")
+    texts = [ITEM.replace("Alice", "Zoe"), TOM.replace("12", "99") + TOM, "\n".join(SUMS), TOM.lower(), " ".join(f"w{i}x" for i in range(20, 90)), "x\n1 + 2", ITEM[: len(ITEM) // 2], "What is 1 + 2 * 3?"]
+    docs = docs.unionByName(spark.createDataFrame([(10**6 + i // 2, t) for i, t in enumerate(texts + texts[:3])] + [(None, TOM)], "doc_id bigint, text string"))
+    one, two = (sorted(map(repr, d.contaminated(docs, bench, block_bytes=n).collect())) for n in (1 << 20, 0))
+    assert one == two and len(one) > 10
+
+
+def test_planted_variants():
+    """Items with repeated names and numbers: copies whose values are replaced one for one are found, those in which each place gets a value of its own aren't."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(3, 7)))
+    names = ["Ann", "Bob", "Carl", "Dora", "Emil", "Fred", "Gina", "Hugo", "Ida", "Jack"]
+    right = wrong = 0
+    for n in range(60):
+        shape = [word() if k % 4 else ("name" if rng.random() < 0.5 else "number", rng.randrange(2)) for k in range(rng.randint(60, 90))]
+        fill = lambda of: " ".join(x if isinstance(x, str) else of(x) for x in shape)  # noqa: E731, B023
+        one_for_one = lambda taken: fill(lambda x: taken[x])
+        draw = lambda x: rng.choice(names) if x[0] == "name" else str(rng.randint(10, 10**6))
+        values = lambda: dict(zip([("name", 0), ("name", 1), ("number", 0), ("number", 1)], [*rng.sample(names, 2), *map(str, rng.sample(range(10, 10**6), 2))], strict=True))
+        item = one_for_one(values())
+        index = d.build_index([(n, item)])
+        find = lambda t: [m[0] for m in d.matches(f"Before it, {t} and after", index, d.Memo(index.known), d.Anchors(index))]  # noqa: E731, B023
+        right += find(one_for_one(values())) == [n]
+        wrong += find(fill(draw)) == [n]
+        assert find(item) == [n]
+    assert right == 60 and wrong == 0
 
 
 def test_passage_of_a_long_item():
