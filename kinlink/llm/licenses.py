@@ -1,20 +1,19 @@
 """Licence scans: Dice coefficient over word bigrams between pieces of a text and licence templates.
 
-Texts are normalised: lower-cased, words are runs of letters, digits and inner dots (``2.0``), all else separates. The pieces of a text are the
-whole, its paragraphs (runs of lines between blank ones), its lines, the sentences of its lines, and all runs of such sentences one after
-the other, over lines and blank lines, as long licences have several. A piece of n
-bigrams can only reach a coefficient t with templates of between n * t / (2 - t) and n * (2 - t) / t bigrams; only those are
-compared, and of the runs of sentences only those in which the share of bigrams that any template has allows the threshold (t / (2 - t)). A document without any bigram of any template is done at once.
+Texts are normalised: lower-cased, words are runs of letters, digits and inner dots (``2.0``), all else separates. The pieces of a text are
+all runs of its sentences (a line's end ends a sentence too): so also its lines, its paragraphs, licences of several paragraphs however
+they are wrapped, and the whole. A piece of n bigrams can only reach a coefficient t with templates of between n * t / (2 - t) and
+n * (2 - t) / t bigrams, and only if it has the share t / (2 - t) of a template's bigrams. So a text is first asked which templates it has so much of, all in all
+(most have none and are done); from each sentence that has a bigram of these on, pieces then grow sentence by sentence
+up to the size bound, and their common bigrams are counted as they grow. Templates are a table (``TEMPLATES`` unless another is given) of at most ``TABLE_BYTES``, full licence texts included.
 """
 
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +21,8 @@ from pyspark.sql import functions as F
 from kinlink.llm.common import small_batches
 
 THRESHOLD = 0.8
-LEAST = 0.5  # the threshold for which ``pieces`` gives all runs of sentences, unless told another
+TABLE_BYTES = 16 << 20  # of template texts, as they go to all machines
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*\+?")
-_PARAGRAPH = re.compile(r"(?:[^\n]*\S[^\n]*\n?)+")
 _SENTENCE = re.compile(r"(?<=[.;!?])\s+(?=\S)")
 
 _WARRANTY = (
@@ -101,25 +99,25 @@ def bigrams(words: list[str]) -> Counter:
     return Counter(zip(words, words[1:], strict=False))
 
 
-def dice(a: Counter, b: Counter) -> float:
-    """2 |a and b| / (|a| + |b|) with repeats; 0 if both are empty."""
-    total = a.total() + b.total()
-    return 2 * (a & b).total() / total if total else 0.0
-
-
 class Templates:
-    """Templates by size, and all their bigrams."""
+    """Templates with the sizes and bigrams they have, and for each bigram the templates that have it, how often."""
 
     def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES) -> None:
-        made = sorted(((b.total(), name, i, b) for i, (name, text) in enumerate(templates) if (b := bigrams(words_of(text)))), key=lambda t: t[:3])
-        self.sizes = [m[0] for m in made]
-        self.made = [(m[1], m[3]) for m in made]
-        self.known = set().union(*(m[3] for m in made)) if made else set()
-
-    def candidates(self, size: int, threshold: float) -> list[tuple[str, Counter]]:
-        """The templates whose size alone doesn't rule the threshold out."""
-        lo, hi = size * threshold / (2 - threshold), size * (2 - threshold) / threshold
-        return self.made[bisect_left(self.sizes, lo - 1e-9) : bisect_right(self.sizes, hi + 1e-9)]
+        made = [(name, b) for name, text in templates if (b := bigrams(words_of(text)))]
+        self.names = [name for name, _ in made]
+        self.sizes = [b.total() for _, b in made]
+        self.having: dict[tuple[str, str], list[tuple[int, int]]] = {}
+        for i, (_, b) in enumerate(made):
+            for pair, n in b.items():
+                self.having.setdefault(pair, []).append((i, n))
+
+    def possible(self, met: Counter, threshold: float) -> set[int]:
+        """The templates that a text with these bigrams has enough of for some piece to reach the threshold."""
+        common: Counter = Counter()
+        for pair, n in met.items():
+            for i, most in self.having[pair]:
+                common[i] += min(n, most)
+        return {i for i, n in common.items() if n >= self.sizes[i] * threshold / (2 - threshold) - 1e-9}
 
 
 def _sentences(line: str) -> Iterator[tuple[int, int]]:
@@ -131,83 +129,88 @@ def _sentences(line: str) -> Iterator[tuple[int, int]]:
     yield start, len(line)
 
 
-def runs(text: str, templates: Templates, threshold: float) -> Iterator[tuple[int, int]]:
-    """Start and end of each run of two or more sentences that some template may reach the threshold with; of equal texts the first."""
-    share = threshold / (2 - threshold)
-    most = max(templates.sizes, default=0) / share + 1e-9
-    spans, counts, words = [], [], []
-    at = 0
+def _spans(text: str) -> tuple[list[str], list[int], list[int]]:
+    """A text's words, and each sentence's start in the text and number of words; sentences without words are left out."""
+    words, starts, counts, at = [], [], [], 0
     for line in text.split("\n"):
         for start, end in _sentences(line):
             if own := words_of(line[start:end]):
-                spans.append((at + start, at + end))
+                starts.append(at + start)
                 counts.append(len(own))
                 words += own
         at += len(line) + 1
-    if len(spans) < 2:
-        return
-    known = np.fromiter((p in templates.known for p in zip(words, words[1:], strict=False)), dtype=np.int64, count=len(words) - 1)
-    ends = np.cumsum(counts)
-    starts = ends - counts
-    before = np.r_[0, np.cumsum(known), known.sum()]  # known bigrams that begin before each word
-    for k in range(1, len(spans)):
-        size = ends[k:] - starts[:-k] - 1
-        if size.min() > most:
-            break
-        seen = set()
-        for i in np.flatnonzero((size <= most) & (before[ends[k:] - 1] - before[starts[:-k]] >= share * size - 1e-9)):
-            start, end = spans[i][0], spans[i + k][1]
-            if (run := text[start:end]) not in seen:
-                seen.add(run)
-                yield start, end
-
-
-def pieces(text: str, templates: Templates | None = None, threshold: float = LEAST) -> Iterator[tuple[int, str]]:
-    """Start and text of the whole, of paragraphs, lines and sentences, and of the runs of sentences that can reach the threshold; equal spans may come twice."""
-    yield 0, text
-    if "\n" in text:
-        for m in _PARAGRAPH.finditer(text):
-            yield m.start(), m[0]
-    at = 0
-    for line in text.split("\n"):
-        yield at, line
-        sentences = list(_sentences(line))
-        for start, end in sentences if len(sentences) > 1 else ():
-            yield at + start, line[start:end]
-        at += len(line) + 1
-    for start, end in runs(text, templates or Templates(), threshold):
-        yield start, text[start:end]
+    return words, starts, counts
 
 
 def scan(text: str, templates: Templates, threshold: float) -> list[tuple[str, float, int]]:
-    """``(licence, best coefficient, where its piece starts)`` of the licences found, by name; of equal coefficients the earliest piece. A piece counts for its best template only."""
+    """``(licence, best coefficient, where its piece starts)`` of the licences found, by name; of equal coefficients the earliest piece. A piece counts for its best templates only."""
+    having = templates.having
     words = words_of(text)
-    if not any(p in templates.known for p in zip(words, words[1:], strict=False)):
+    met = Counter(p for p in zip(words, words[1:], strict=False) if p in having)
+    possible = templates.possible(met, threshold) if met else set()
+    if not possible:
         return []
+    words, starts, counts = _spans(text)  # cut by sentence, words are the same unless one goes on after a stop
+    of = [[(i, most) for i, most in having.get(p, ()) if i in possible] for p in zip(words, words[1:], strict=False)]
+    first = [0]
+    for n in counts:
+        first.append(first[-1] + n)
+    hits = [0]  # bigrams of any possible template that begin before each word
+    for x in of:
+        hits.append(hits[-1] + bool(x))
+    share = threshold / (2 - threshold)
+    longest, shortest = max(templates.sizes[i] for i in possible) / share + 1e-9, min(templates.sizes[i] for i in possible)
     best: dict[str, tuple[float, int]] = {}
-    for at, piece in pieces(text, templates, threshold):
-        own = words_of(piece)
-        near = templates.candidates(len(own) - 1, threshold) if len(own) > 1 else []
-        if near and any(p in templates.known for p in zip(own, own[1:], strict=False)):
-            made = bigrams(own)
-            scored = [(dice(made, template), name) for name, template in near]
-            top = max(d for d, _ in scored)
-            for d, name in scored:
-                if d == top and d >= threshold and (name not in best or (-d, at) < (-best[name][0], best[name][1])):
-                    best[name] = (d, at)
+    for k, at in enumerate(starts):
+        low = first[k]
+        # no piece that begins here has enough known bigrams: neither of its own, nor of a template
+        if hits[min(low + int(longest) + 1, len(of))] - hits[low] < max(1, share * shortest - 1e-9) or (k + 1 < len(starts) and hits[min(first[k + 1], len(of))] == hits[low]):
+            continue
+        seen: Counter = Counter()
+        common: Counter = Counter()
+        done = low
+        for end in first[k + 1 :]:
+            size = end - low - 1
+            if size > longest:
+                break
+            for b in range(done, end - 1):
+                for i, most in of[b]:
+                    key = (i, words[b], words[b + 1])
+                    seen[key] += 1
+                    if seen[key] <= most:
+                        common[i] += 1
+            done = max(done, end - 1)
+            scored = [(2 * n / (size + templates.sizes[i]), i) for i, n in common.items()]
+            top = max(scored, default=(0.0, 0))[0]
+            if top >= threshold:
+                for d, i in scored:
+                    name = templates.names[i]
+                    if d == top and (name not in best or (-d, at) < (-best[name][0], best[name][1])):
+                        best[name] = (d, at)
     return [(name, d, at) for name, (d, at) in sorted(best.items())]
 
 
-def licence_hits(docs: DataFrame, threshold: float = THRESHOLD, templates: tuple[tuple[str, str], ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, licence, dice, start)``: one row for each row of ``docs`` and licence in it.
+def template_rows(templates: DataFrame | tuple[tuple[str, str], ...]) -> tuple[tuple[str, str], ...]:
+    """Templates as rows ``(licence, text)``; a table is measured before it is collected, null names and texts are left out."""
+    if not isinstance(templates, DataFrame):
+        return templates
+    rows = templates.select(F.col("licence").cast("string"), F.col("text").cast("string")).dropna()
+    if (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > TABLE_BYTES:
+        raise ValueError(f"the templates have more than {TABLE_BYTES} bytes")
+    return tuple(sorted(tuple(r) for r in rows.collect()))
+
+
+def licence_hits(docs: DataFrame, threshold: float = THRESHOLD, templates: DataFrame | tuple[tuple[str, str], ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, licence, dice, start)``: one row for each row of ``docs`` and licence in it; ``templates`` may be a table ``(licence, text)``.
 
     Null texts count as empty and have none; repeated rows give repeated results; an empty table gives an empty result; other columns are ignored.
     """
     small_batches(docs.sparkSession)
+    table = template_rows(templates)
     schema = pa.schema([("doc_id", pa.int64()), ("licence", pa.string()), ("dice", pa.float64()), ("start", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Templates(templates)
+        made = Templates(table)
         for b in batches:
             found = [(doc, *hit) for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for hit in scan(text, made, threshold)]
             cols = list(zip(*found, strict=True)) or [()] * len(schema)
