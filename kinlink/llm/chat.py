@@ -7,7 +7,8 @@ so no control string of a text survives and every text can be read back; in a ro
 Every assistant turn becomes an example of its own: all preceding turns are its context, and only its reply's text
 is under the loss mask. Full texts of the examples of a conversation of n turns would take O(n^2) characters, but each
 begins with the one before; so an example is stored as its context's length and what it adds: the turns since the last
-example and its own. ``example_texts`` puts the full texts together. Turns after the last reply form a
+example and its own. ``read_back`` reads every example whole (its context, its reply and its mask) by digests that go on from one example to
+the next, so no character is read twice; ``example_texts`` puts the full texts together. Turns after the last reply form a
 closing example without target. Pieces end at turns and hold ``PART_CHARS`` characters or one turn, so a conversation of
 any length streams through: nothing holds more of it than a piece.
 """
@@ -86,9 +87,9 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 REPORT = pa.schema(
-    [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_examples", pa.int64())]
+    [("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_examples", pa.int64()), ("example_chars", pa.int64()), ("examples_sha256", pa.string())]
 )
-REPORT_DDL = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint"
+REPORT_DDL = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, n_examples bigint, example_chars bigint, examples_sha256 string"
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +100,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def close() -> None:
         if row is not None:
-            out.append(row | {"turns_sha256": row["turns_sha256"].hexdigest(), "loss_sha256": row["loss_sha256"].hexdigest()})
+            out.append({k: v.hexdigest() if k.endswith("sha256") else v for k, v in row.items() if k != "whole"})
 
     for b in batches:
         for r in b.to_pylist():
@@ -107,6 +108,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 close()
                 conv = r["conv_id"]
                 row = {"conv_id": conv, "n_turns": 0, "turns_sha256": hashlib.sha256(), "loss_chars": 0, "loss_sha256": hashlib.sha256(), "formatted_chars": 0, "n_examples": 0}
+                row |= {"example_chars": 0, "examples_sha256": hashlib.sha256(), "whole": hashlib.sha256()}
             text, at = r["text"], 0
             if r["context_chars"] != row["formatted_chars"]:
                 raise ValueError(f"conversation {conv}: a part is missing before character {r['context_chars']}")
@@ -124,6 +126,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row["loss_sha256"].update(reply.encode())
                 row["n_examples"] += 1
             row["formatted_chars"] += len(text)
+            row["whole"].update(text.encode())
+            if r["loss_start"] is not None:  # the example is all that was read so far
+                row["example_chars"] += row["formatted_chars"]
+                row["examples_sha256"].update(f"{row['whole'].hexdigest()} {r['loss_start']} {r['loss_end']}\n".encode())
         yield pa.RecordBatch.from_pylist(out, schema=REPORT)
         out.clear()
     close()
@@ -146,7 +152,8 @@ def read_back(examples: DataFrame, ordered: bool = False) -> DataFrame:
     """One row per conversation, read from the formatted parts: turns and replies are unescaped and digested as they stream by.
 
     ``ordered``: the rows are as ``expand`` gives them; else they are shuffled into that order. ``formatted_chars`` is the length of the whole
-    formatted conversation, which is the text of its last example.
+    formatted conversation, which is the text of its last example. ``example_chars`` is the sum of the lengths of all examples with a target,
+    ``examples_sha256`` the digest of a line for each: the digest of its whole text, and where its mask starts and ends.
     """
     if not ordered:
         examples = examples.repartition("conv_id").sortWithinPartitions("conv_id", "example", "part")

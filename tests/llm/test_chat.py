@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kinlink.llm import chat
 
@@ -51,6 +52,26 @@ def test_examples(spark):
     assert sum(c == 1 for c, _ in full) == 2 and not any(c == 2 for c, _ in full)
 
 
+def test_whole_examples_against_their_texts(spark, small_dir):
+    """The running digests are those of every example's text put together: context, reply and mask."""
+    turns = spark.read.parquet(f"{small_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(spark.createDataFrame(ROWS, SCHEMA).where("conv_id = 1").withColumn("conv_id", F.lit(-5)))
+    rows = [tuple(r) for r in turns.collect()]
+    want = {}
+    for conv in {r[0] for r in rows}:
+        text, lines, chars, n = "", "", 0, 0
+        for _, _, role, said in sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1], r[2] or "", r[3] or "")):
+            start = len(text) + len(f"<|im_start|>{chat.escape_role(role or '')}\n")
+            text += f"<|im_start|>{chat.escape_role(role or '')}\n{chat.escape(said or '')}<|im_end|>\n"
+            if role == "assistant":
+                lines += f"{hashlib.sha256(text.encode()).hexdigest()} {start} {len(text) - len('<|im_end|>') - 1}\n"
+                chars, n = chars + len(text), n + 1
+        want[conv] = (n, chars, hashlib.sha256(lines.encode()).hexdigest())
+    examples = chat.expand(turns)
+    assert {r["conv_id"]: (r["n_examples"], r["example_chars"], r["examples_sha256"]) for r in chat.read_back(examples, ordered=True).collect()} == want
+    full = chat.example_texts(examples).collect()
+    assert len(full) == sum(n for n, _, _ in want.values()) and sum(len(r["text"]) for r in full) == sum(c for _, c, _ in want.values())
+
+
 def test_missing_part_is_an_error(spark):
     examples = chat.expand(spark.createDataFrame(ROWS, SCHEMA)).where("not (conv_id = 1 and example = 0)")
     with pytest.raises(Exception, match="a part is missing"):
