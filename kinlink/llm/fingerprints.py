@@ -9,7 +9,8 @@ Everything here is DataFrame and SQL expressions; no Python runs on the executor
   a document costs eight additions a term instead of 64.
 * ``within_radius`` cuts 64 bits into ``blocks`` blocks. Two fingerprints that differ in at most
   ``radius`` bits agree on at least ``blocks - radius`` whole blocks, so one table for each choice
-  of so many blocks, keyed by their bits, meets every such pair; the rest is checked exactly.
+  of so many blocks, keyed by their bits, meets every such pair; the rest is checked exactly. The number of
+  blocks, and so the length of the keys, grows with the number of distinct fingerprints.
   A pair is reported by the first table that holds it, so nothing needs a ``distinct``.
 """
 
@@ -106,6 +107,11 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     return edited.select("doc_id", "n_chars", "fp", "next_fp", F.sha2(F.col("edited"), 256).alias("edited_sha256"), F.expr(fingerprint_sql("edited")).alias("edited_fp"))
 
 
+def blocks_for(n: int, radius: int, per_key: int = 32) -> int:
+    """The fewest blocks (two more than ``radius`` at least) whose keys hold about ``per_key`` of ``n`` spread fingerprints at most."""
+    return next((b for b in range(radius + 2, 64) if n >> ((64 // b) * (b - radius)) <= per_key), 64)
+
+
 def block_choices(blocks: int, radius: int) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
     """The (start, width) of each block and the blocks that key each table."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
@@ -133,13 +139,14 @@ def within_radius(asked: DataFrame, table: DataFrame, radius: int = 3, blocks: i
     return met.where((F.bit_count(differ) <= radius) & first).select("fp", "other_fp")
 
 
-def fingerprint_report(docs: DataFrame, radius: int = 3, blocks: int = 5, every: int = 100) -> DataFrame:
+def fingerprint_report(docs: DataFrame, radius: int = 3, blocks: int | None = None, every: int = 100) -> DataFrame:
     """One row per document: both fingerprints, their likeness, and for ids divisible by ``every`` how many documents are within ``radius``.
 
     ``n_within`` counts all rows whose fingerprint is near, the document itself included; null for documents that aren't asked.
     """
     made = materialize(edited_documents(docs), "fingerprints")
     table = made.groupBy("fp").agg(F.count("*").alias("n"), F.max((F.col("doc_id") % every == 0).cast("int")).alias("asked"))
+    blocks = blocks or blocks_for(made.count(), radius)
     near = within_radius(table.where("asked = 1").select("fp"), table.select("fp"), radius, blocks)
     counts = near.join(table.select(F.col("fp").alias("other_fp"), "n"), "other_fp").groupBy("fp").agg(F.sum("n").alias("n_within")).withColumn("q", F.lit(0))
     rows = made.withColumn("q", (F.col("doc_id") % every).cast("int"))

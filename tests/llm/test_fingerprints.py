@@ -1,7 +1,10 @@
 import hashlib
 import random
+from collections import Counter
 
 import pytest
+import regex
+import xxhash
 
 from kinlink.llm import fingerprints as f
 from kinlink.llm.common import piece_of, split_points
@@ -65,6 +68,32 @@ def test_block_tables_find_all(spark, radius, blocks):
     assert got == sorted((a, b) for a in near for b in near if _bits(a, b) <= radius)
 
 
+def test_blocks_grow_with_the_table():
+    assert f.blocks_for(10**6, 3) == 5 and f.blocks_for(10**9, 3) == 6 and f.blocks_for(10**11, 3) > 6 and f.blocks_for(0, 0) == 2
+
+
+def _plain(text):
+    """The fingerprint of a text, term by term and bit by bit."""
+    words = [xxhash.xxh64_intdigest(w, 42) for w in regex.findall(r"[\p{L}\p{N}]+", text.lower())]
+    raw = lambda h: h.to_bytes(8, "little")
+    terms = words if len(words) < 2 else [xxhash.xxh64_intdigest(raw(b), xxhash.xxh64_intdigest(raw(a), 42)) for a, b in zip(words, words[1:], strict=False)]
+    votes = [0] * 64
+    for h, weight in Counter(terms).items():
+        for b in range(64):
+            votes[b] += weight if h >> b & 1 else -weight
+    return sum(1 << b for b in range(64) if votes[b] > 0)
+
+
+def test_fingerprints_of_whole_texts_against_plain(spark, small_dir, edge_docs):
+    """Both fingerprints of every document of the query's table, and of the edges."""
+    for docs in (spark.read.parquet(f"{small_dir}/documents.parquet"), edge_docs.where("doc_id is not null and text not like '%Ünïcode%'").dropDuplicates(["doc_id"])):
+        src = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), reverse=True)
+        got = {r["doc_id"]: (r["fingerprint"], r["edited_fingerprint"]) for r in f.fingerprint_report(docs).collect()}
+        for (i, t), (_, after) in zip(src, src[1:] + src[:1], strict=True):
+            edited = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
+            assert got[i] == (f"{_plain(t):016x}", f"{_plain(edited):016x}"), i
+
+
 def test_native_plan(spark, edge_docs):
     plan = f.edited_documents(edge_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "SinglePartition" not in plan
