@@ -20,6 +20,8 @@ from kinlink.schemas import COUNTRY, ENTITY_ID, LEFT, METHOD, RIGHT, SCORE, colu
 
 #: Right sides of at most so many weights (12 bytes each) may be sent to all machines as an index.
 INDEX_WEIGHTS = 1_000_000
+#: So many weights of each side, about, meet in one task where the right side is larger.
+CELL_WEIGHTS = 1_000_000
 COLUMNS = [LEFT, RIGHT, SCORE, METHOD]
 
 
@@ -32,15 +34,23 @@ def _top(df: DataFrame, k: int, order: list[Column], *group: str) -> DataFrame:
     return ranked.where(F.col("_rank") <= k).drop("_rank")
 
 
-def _shard_join(left: DataFrame, right: DataFrame, key: Column, method: str) -> DataFrame:
+def _shard_join(left: DataFrame, right: DataFrame, key: Column, method: str, most: int | None) -> DataFrame:
+    """Pairs of equal keys. ``most``: only the ``most`` smallest right ids of a key (and one, for a pair of an id with itself).
+
+    All pairs have score 1 and ties go to the smaller right id, so where each left id keeps its best ``most``, the others can't be among them.
+    A key of n right ids then gives each left id at most ``most`` + 1 pairs, not n.
+    """
     side = lambda df, name: df.select(F.col(ENTITY_ID).alias(name), key.alias("_key")).where("_key is not null")
-    met = side(left, LEFT).join(side(right, RIGHT), "_key").where(F.col(LEFT) != F.col(RIGHT))
+    rights = side(right, RIGHT)
+    if most is not None:
+        rights = _top(rights, most + 1, [F.col(RIGHT)], "_key")
+    met = side(left, LEFT).join(rights, "_key").where(F.col(LEFT) != F.col(RIGHT))
     return _pairs(met, F.lit(1.0), method)
 
 
-def token_sort_candidates(left: DataFrame, right: DataFrame, prefix_len: int = 5) -> DataFrame:
-    """Entities whose token-sorted names begin alike; score 1. A table joined with itself gives both directions."""
-    return _shard_join(left, right, F.substring("token_sorted_name", 1, prefix_len), "token_sort")
+def token_sort_candidates(left: DataFrame, right: DataFrame, prefix_len: int = 5, most: int | None = None) -> DataFrame:
+    """Entities whose token-sorted names begin alike; score 1. A table joined with itself gives both directions. ``most``: as many as a later cap can keep."""
+    return _shard_join(left, right, F.substring("token_sorted_name", 1, prefix_len), "token_sort", most)
 
 
 def _present_address(df: DataFrame) -> Column:
@@ -49,10 +59,10 @@ def _present_address(df: DataFrame) -> Column:
     return F.when(~missing & (F.trim("normalized_address") != ""), F.col("normalized_address"))
 
 
-def address_prefix_candidates(left: DataFrame, right: DataFrame, prefix_len: int = 8) -> DataFrame:
-    """Entities whose normalised addresses begin alike; score 1; rows without address take no part."""
+def address_prefix_candidates(left: DataFrame, right: DataFrame, prefix_len: int = 8, most: int | None = None) -> DataFrame:
+    """Entities whose normalised addresses begin alike; score 1; rows without address take no part. ``most``: as many as a later cap can keep."""
     keyed = lambda df: df.withColumn("_address", _present_address(df))
-    return _shard_join(keyed(left), keyed(right), F.substring("_address", 1, prefix_len), "addr_prefix")
+    return _shard_join(keyed(left), keyed(right), F.substring("_address", 1, prefix_len), "addr_prefix", most)
 
 
 def rare_token_candidates(left: DataFrame, right: DataFrame, rarity: float = 0.005, text_col: str = "normalized_name", max_per_entity: int = 50) -> DataFrame:
@@ -100,63 +110,107 @@ def tfidf_weights(left: DataFrame, right: DataFrame, low: int, high: int, text_c
     return raw.join(norm, ["side", "id", *group]).select("side", "id", *group, "gram", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def _index_top(lefts: DataFrame, rights: DataFrame, k: int, group: list[str]) -> DataFrame:
-    """Top ``k`` of each left by an index of the right side (gram -> rows and weights), which was found small enough."""
-    table = rights.select("id", "gram", "w").toArrow()
-    ids, row = np.unique(np.array(table.column("id").to_pylist(), dtype=object), return_inverse=True)
-    gram = np.array(table.column("gram").to_pylist(), dtype=object)
-    weight = table.column("w").to_numpy()
-    order = np.argsort(gram, kind="stable")
-    names, starts = np.unique(gram[order], return_index=True)
-    ends = np.r_[starts[1:], len(order)][: len(starts)]
-    index = {g: (s, e) for g, s, e in zip(names, starts, ends, strict=True)}
-    row, weight = row[order].astype(np.int32), weight[order]
-    schema = pa.schema([(LEFT, pa.string()), (RIGHT, pa.string()), ("score", pa.float64())])
+class _GramIndex:
+    """Right rows and weights by gram."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.ids, row = np.unique(np.array(table.column("id").to_pylist(), dtype=object), return_inverse=True)
+        gram = np.array(table.column("gram").to_pylist(), dtype=object)
+        order = np.argsort(gram, kind="stable")
+        names, starts = np.unique(gram[order], return_index=True)
+        ends = np.r_[starts[1:], len(order)][: len(starts)]
+        self.at = {g: (s, e) for g, s, e in zip(names, starts, ends, strict=True)}
+        self.row, self.weight = row[order].astype(np.int32), table.column("w").to_numpy()[order]
+
+    def best(self, grams: list[str], weights: list[float], k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores, to 9 places, of the ``k`` best right rows; ids ascend, so ties go to the smaller id."""
+        found = [(*self.at[g], w) for g, w in zip(grams, weights, strict=True) if g in self.at]
+        if not found:
+            return self.ids[:0], np.zeros(0)
+        at = np.concatenate([self.row[s:e] for s, e, _ in found])
+        score = np.bincount(at, np.concatenate([self.weight[s:e] * w for s, e, w in found]), len(self.ids))
+        some = np.flatnonzero(score)
+        score = np.round(score[some], 9)
+        some, score = some[score > 0], score[score > 0]
+        if len(some) > k:
+            near = score >= np.partition(score, -k)[-k]
+            some, score = some[near], score[near]
+        order = np.argsort(-score, kind="stable")[:k]
+        return self.ids[some[order]], score[order]
+
+
+_SCORED = pa.schema([(LEFT, pa.string()), (RIGHT, pa.string()), ("score", pa.float64())])
+_SCORED_DDL = f"{LEFT} string, {RIGHT} string, score double"
+
+
+def _scored_rows(index: _GramIndex, lefts: Iterable[tuple[str, list[str], list[float]]], k: int) -> tuple[list, list, list]:
+    out: tuple[list, list, list] = ([], [], [])
+    for left, grams, weights in lefts:
+        ids, scores = index.best(grams, weights, k)
+        out[0].extend([left] * len(ids))
+        out[1].extend(ids)
+        out[2].extend(scores)
+    return out
+
+
+def _index_top(lefts: DataFrame, rights: DataFrame, k: int) -> DataFrame:
+    """Top ``k`` of each left by an index of the right side, which was found small enough."""
+    index = _GramIndex(rights.select("id", "gram", "w").toArrow())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: tuple[list, list, list] = ([], [], [])
-            for left, pairs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                found = [(index[p["gram"]], p["w"]) for p in pairs if p["gram"] in index]
-                if not found:
-                    continue
-                at = np.concatenate([row[s:e] for (s, e), _ in found])
-                score = np.round(np.bincount(at, np.concatenate([weight[s:e] * w for (s, e), w in found]), len(ids)), 9)
-                some = np.flatnonzero(score > 0)
-                if len(some) > k:
-                    some = some[score[some] >= np.partition(score[some], -k)[-k]]
-                best = some[np.argsort(-score[some], kind="stable")][:k]  # ids ascend, so ties go to the smaller id
-                out[0].extend([left] * len(best))
-                out[1].extend(ids[best])
-                out[2].extend(score[best])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, schema.types, strict=True)], schema=schema)
-
-    packed = lefts.groupBy("id", *group).agg(F.collect_list(F.struct("gram", "w")).alias("pairs")).select("id", "pairs")
-    return packed.mapInArrow(run, f"{LEFT} string, {RIGHT} string, score double")
-
-
-def _join_top(lefts: DataFrame, rights: DataFrame, k: int, group: list[str]) -> DataFrame:
-    """Top ``k`` of each left by joining on grams."""
-    met = lefts.select(F.col("id").alias(LEFT), *group, "gram", F.col("w").alias("wl")).join(rights.select(F.col("id").alias(RIGHT), *group, "gram", F.col("w").alias("wr")), [*group, "gram"])
-    scored = met.groupBy(LEFT, RIGHT, *group).agg(F.round(F.sum(F.col("wl") * F.col("wr")), 9).alias("score"))
-    return _top(scored, k, [F.col("score").desc(), F.col(RIGHT)], LEFT, *group).select(LEFT, RIGHT, "score")
+            lefts = ((i, [p["gram"] for p in pairs], [p["w"] for p in pairs]) for i, pairs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+            out = _scored_rows(index, lefts, k)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _SCORED.types, strict=True)], schema=_SCORED)
+
+    packed = lefts.groupBy("id").agg(F.collect_list(F.struct("gram", "w")).alias("pairs")).select("id", "pairs")
+    return packed.mapInArrow(run, _SCORED_DDL)
+
+
+def _grid_top(lefts: DataFrame, rights: DataFrame, k: int, n_left: int, n_right: int, cell: int) -> DataFrame:
+    """Top ``k`` of each left by a grid: the right side in blocks, the left side in parts, by id; each block meets each part in a task of its own.
+
+    No task has more than about ``cell`` weights of either side, however common a gram is, and no row is made for each pair that shares a
+    gram: a cell returns its own top ``k`` of each left, of which the best are taken.
+    """
+    blocks = -(-n_right // cell)
+    parts = max(-(-n_left // cell), -(-int(lefts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks))
+    deal = lambda df, own, n, other, m: df.select("id", "gram", "w", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int").alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return _SCORED.empty_table()
+        left = left.sort_by("id")
+        ids, grams, weights = (left.column(c).to_pylist() for c in ("id", "gram", "w"))
+        edges = [0, *(i for i in range(1, len(ids)) if ids[i] != ids[i - 1]), len(ids)]
+        out = _scored_rows(_GramIndex(right), ((ids[a], grams[a:b], weights[a:b]) for a, b in zip(edges, edges[1:], strict=False)), k)
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, _SCORED.types, strict=True)], schema=_SCORED)
+
+    cells = deal(lefts, "part", parts, "block", blocks).groupBy("part", "block").cogroup(deal(rights, "block", blocks, "part", parts).groupBy("part", "block"))
+    return _top(cells.applyInArrow(run, _SCORED_DDL), k, [F.col("score").desc(), F.col(RIGHT)], LEFT)
 
 
 def tfidf_scored(
-    left: DataFrame, right: DataFrame, top_k: int, low: int = 2, high: int = 3, text_col: str = "normalized_name", group_col: str | None = None, index_weights: int = INDEX_WEIGHTS
+    left: DataFrame, right: DataFrame, top_k: int, low: int = 2, high: int = 3, text_col: str = "normalized_name", group_col: str | None = None, index_weights: int = INDEX_WEIGHTS, cell_weights: int = CELL_WEIGHTS
 ) -> DataFrame:
     """``(entity_id_left, entity_id_right, score)``: the ``top_k`` right entities of each left one by cosine of TF-IDF n-grams, to 9 places.
 
-    Weights are counted before the right side is sent out as an index; a larger right side is joined on its grams. With ``group_col``, entities meet in their
-    group only and the best are taken inside it.
+    Weights are written to the shared folder and counted before the right side is sent out as an index; a larger right side is met block by block. With
+    ``group_col``, entities meet in their group only and the best are taken inside it.
     """
-    weights = tfidf_weights(left, right, low, high, text_col, group_col).persist()
-    lefts, rights = weights.where("side = 'l'"), weights.where("side = 'r'")
-    group = ["grp"] if group_col else []
-    if rights.count() > index_weights:
-        return _join_top(lefts, rights, top_k, group)
-    keyed = lambda df: df.withColumn("gram", F.concat_ws("\x01", *group, "gram"))
-    return _index_top(keyed(lefts), keyed(rights), top_k, group)
+    from kinlink.sources import tables
+
+    made = tfidf_weights(left, right, low, high, text_col, group_col)
+    if group_col:
+        made = made.select("side", "id", F.concat_ws("\x01", "grp", "gram").alias("gram"), "w")
+    path = tables.scratch_path(left.sparkSession, "weights")
+    tables.write_parquet(made, path)
+    weights = left.sparkSession.read.schema(made.schema).parquet(path)
+    sizes = {r["side"]: r["count"] for r in weights.groupBy("side").count().collect()}
+    lefts, rights, n_right = weights.where("side = 'l'"), weights.where("side = 'r'"), sizes.get("r", 0)
+    if n_right <= index_weights or not n_right:
+        return _index_top(lefts, rights, top_k)
+    return _grid_top(lefts, rights, top_k, sizes.get("l", 0), n_right, cell_weights)
 
 
 def tfidf_candidates(
@@ -170,9 +224,10 @@ def tfidf_candidates(
     method: str = "tfidf",
     group_col: str | None = None,
     index_weights: int = INDEX_WEIGHTS,
+    cell_weights: int = CELL_WEIGHTS,
 ) -> DataFrame:
     """Top ``top_k`` first, then those of at least ``min_similarity``, then without pairs of an id with itself (which used a place)."""
-    scored = tfidf_scored(left, right, top_k, low, high, text_col, group_col, index_weights)
+    scored = tfidf_scored(left, right, top_k, low, high, text_col, group_col, index_weights, cell_weights)
     return _pairs(scored.where((F.col("score") >= min_similarity) & (F.col(LEFT) != F.col(RIGHT))), F.col("score"), method)
 
 
@@ -209,13 +264,20 @@ def merge_candidates(parts: Iterable[DataFrame], max_per_entity: int = 100, cano
     return _top(merged, max_per_entity, [F.col(SCORE).desc(), F.col(RIGHT)], LEFT).select(*COLUMNS)
 
 
+def _apart(left: DataFrame, right: DataFrame) -> bool:
+    """Whether all left ids are below all right ids, so that canonical pairs keep their sides."""
+    last, first = left.agg(F.max(ENTITY_ID)).first()[0], right.agg(F.min(ENTITY_ID)).first()[0]
+    return last is None or first is None or last < first
+
+
 def block_pair(left: DataFrame, right: DataFrame, config: BlockingConfig | None = None, canonical: bool = True) -> DataFrame:
     """TF-IDF names, token-sort prefixes and address prefixes together."""
     c = config or BlockingConfig()
+    most = None if canonical and not _apart(left, right) else c.max_candidates_per_entity
     parts = [
         tfidf_candidates(left, right, c.tfidf_top_k, c.ngram_min, c.ngram_max, c.min_similarity),
-        token_sort_candidates(left, right, c.token_sort_prefix_len),
-        address_prefix_candidates(left, right, c.address_prefix_len),
+        token_sort_candidates(left, right, c.token_sort_prefix_len, most),
+        address_prefix_candidates(left, right, c.address_prefix_len, most),
     ]
     return merge_candidates(parts, c.max_candidates_per_entity, canonical)
 

@@ -46,8 +46,8 @@ def all_experiments(top_k: int = 50, cap: int = 100) -> list[Experiment]:
     return [*out, Experiment("exp3c_addr_missing_name_only_quality", 3, ("tfidf_name", "token_sort", "rare_token_0.005"), cap, top_k)]
 
 
-def strategy_tables(left: DataFrame, right: DataFrame, names: Sequence[str], top_k: int = 50, largest_k: int = max(CAPS), min_similarity: float = 0.05) -> dict[str, DataFrame]:
-    """Candidates of each strategy, with ``rank`` (1 where a strategy has none)."""
+def strategy_tables(left: DataFrame, right: DataFrame, names: Sequence[str], top_k: int = 50, largest_k: int = max(CAPS), min_similarity: float = 0.05, most: int | None = None) -> dict[str, DataFrame]:
+    """Candidates of each strategy, with ``rank`` (1 where a strategy has none). ``most``: the largest cap of the runs."""
     out: dict[str, DataFrame] = {}
     if any(n.startswith("tfidf") for n in names):
         scored = blocking.tfidf_scored(left, right, largest_k)
@@ -56,8 +56,8 @@ def strategy_tables(left: DataFrame, right: DataFrame, names: Sequence[str], top
         base = ranked.select(LEFT, RIGHT, F.col("score").alias(SCORE), F.lit("tfidf_name").alias(METHOD), "rank").persist()
         out |= {"tfidf_name": base, "tfidf_boosted": blocking.boosted(base)}
     whole = {
-        "token_sort": lambda: blocking.token_sort_candidates(left, right),
-        "address_prefix": lambda: blocking.address_prefix_candidates(left, right).withColumn(METHOD, F.lit("address_prefix")),
+        "token_sort": lambda: blocking.token_sort_candidates(left, right, most=most),
+        "address_prefix": lambda: blocking.address_prefix_candidates(left, right, most=most).withColumn(METHOD, F.lit("address_prefix")),
         "postal_ngram": lambda: blocking.postal_ngram_candidates(left, right, top_k, min_similarity),
         "country_tfidf_name": lambda: blocking.country_tfidf_candidates(left, right, top_k, method="country_tfidf_name"),
         "country_tfidf_addr": lambda: blocking.country_tfidf_candidates(left.where("not address_missing"), right.where("not address_missing"), top_k, text_col="normalized_address", method="country_tfidf_addr"),

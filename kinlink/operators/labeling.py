@@ -86,6 +86,7 @@ def label_statistics(labeled: DataFrame, pair_type: str) -> DataFrame:
 
 def stratified_entities(records: DataFrame, n_matched: int = 2000, n_single: int = 200, seed: int = 42) -> DataFrame:
     """``s1_id, is_singleton`` of so many drawn entities of each kind."""
-    at = F.row_number().over(Window.partitionBy("is_singleton").orderBy(draw(seed, "s1_id"), "s1_id"))
-    most = F.when(F.col("is_singleton"), n_single).otherwise(n_matched)
-    return records.select("s1_id", "is_singleton").withColumn("_at", at).where(F.col("_at") <= most).drop("_at")
+    rows = records.select("s1_id", "is_singleton")
+    # each kind by a limit of its own, so that no task sorts more than the best of the others
+    taken = lambda kind, n: rows.where(kind).orderBy(draw(seed, "s1_id"), "s1_id").limit(n)
+    return taken(~F.col("is_singleton"), n_matched).unionByName(taken(F.col("is_singleton"), n_single))

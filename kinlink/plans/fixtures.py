@@ -98,17 +98,17 @@ def tfidf(spark: SparkSession, sf_dir: str, right: str, k: int = TOP_K, method:
     return rows.select("entity_id_left", "entity_id_right", F.col("score").alias("blocking_score"), F.lit(method).alias("blocking_method"))
 
 
-def token_sort(spark: SparkSession, sf_dir: str, right: str) -> DataFrame:
-    return blocking.token_sort_candidates(side(spark, sf_dir, "s1"), side(spark, sf_dir, right))
+def token_sort(spark: SparkSession, sf_dir: str, right: str, most: int | None = None) -> DataFrame:
+    return blocking.token_sort_candidates(side(spark, sf_dir, "s1"), side(spark, sf_dir, right), most=most)
 
 
-def address_prefix(spark: SparkSession, sf_dir: str, right: str) -> DataFrame:
-    return blocking.address_prefix_candidates(side(spark, sf_dir, "s1"), side(spark, sf_dir, right))
+def address_prefix(spark: SparkSession, sf_dir: str, right: str, most: int | None = None) -> DataFrame:
+    return blocking.address_prefix_candidates(side(spark, sf_dir, "s1"), side(spark, sf_dir, right), most=most)
 
 
 def candidates(spark: SparkSession, sf_dir: str, right: str) -> DataFrame:
     """Merged candidates from source 1 to ``right``."""
-    parts = lambda: [tfidf(spark, sf_dir, right), token_sort(spark, sf_dir, right), address_prefix(spark, sf_dir, right)]
+    parts = lambda: [tfidf(spark, sf_dir, right), token_sort(spark, sf_dir, right, CAP), address_prefix(spark, sf_dir, right, CAP)]
     return kept(spark, sf_dir, f"candidates-{right}", lambda: blocking.merge_candidates(parts(), CAP, canonical=True))
 
 

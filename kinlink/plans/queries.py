@@ -158,9 +158,9 @@ def normalize_batch(spark: SparkSession, d: str) -> DataFrame:
     return fx.entities(spark, d)
 
 
-@query()
+@query(sql.oracle("select entity_id, nfc_normalize(business_name) as folded from ent"))
 def nfkc_fold(spark: SparkSession, d: str) -> DataFrame:
-    """NFKC of names written in full-width letters."""
+    """NFKC of names written in full-width letters; it gives back the names, which have no other letters of that kind."""
     wide = F.translate("business_name", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "".join(chr(0xFEE0 + ord(c)) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
     return _raw(spark, d).select(ENTITY_ID, text.nfkc(wide).alias("folded"))
 
@@ -175,8 +175,8 @@ def block_tfidf(spark: SparkSession, d: str) -> DataFrame:
 
 @query(_cand_sql("tf_s3", "tfidf", "score >= 0.05"))
 def block_tfidf_join(spark: SparkSession, d: str) -> DataFrame:
-    """The same on source 3, by the join on grams that large right sides take."""
-    return _scored(blocking.tfidf_candidates(fx.side(spark, d, "s1"), fx.side(spark, d, "s3"), fx.TOP_K, index_weights=0))
+    """The same on source 3, by the grid of blocks that large right sides take."""
+    return _scored(blocking.tfidf_candidates(fx.side(spark, d, "s1"), fx.side(spark, d, "s3"), fx.TOP_K, index_weights=0, cell_weights=50_000))
 
 
 @query(_cand_sql("ts_s2", "token_sort"))
@@ -218,6 +218,19 @@ def merge_candidates(spark: SparkSession, d: str) -> DataFrame:
     return _scored(fx.candidates(spark, d, "s2"))
 
 
+_DEFAULT = """select l as entity_id_left, r as entity_id_right, score as blocking_score, method as blocking_method from (
+  select *, row_number() over (partition by l order by score desc, r) as k from (
+    select l, r, max(score) as score, string_agg(distinct method, '+' order by method) as method from (
+      select l, r, score, 'tfidf' as method from big_s2 where rank <= 50 and score >= 0.05 union all
+      select l, r, score, 'token_sort' from ts_s2 union all select l, r, score, 'addr_prefix' from ap_s2) group by l, r)) where k <= 100"""
+
+
+@query(sql.oracle(_DEFAULT))
+def block_pair_default(spark: SparkSession, d: str) -> DataFrame:
+    """The three strategies together, with the engine's default parameters (50 candidates by TF-IDF, 100 in all)."""
+    return _scored(blocking.block_pair(fx.side(spark, d, "s1"), fx.side(spark, d, "s2")))
+
+
 _WEIGHTED = """select l as entity_id_left, r as entity_id_right, score as blocking_score, method as blocking_method from (
   select *, row_number() over (partition by l order by score desc, r) as k from (
     select l, r, max(score) as score, string_agg(distinct method, '+' order by method) as method from (
@@ -268,9 +281,10 @@ def recall_pairs(spark: SparkSession, d: str) -> DataFrame:
     return _round(recall.pair_recall(fx.candidates(spark, d, "s2"), _gold2(spark, d)), "recall", "precision", "avg_candidates_per_entity")
 
 
-@query(sql.oracle(f"select lo as entity_id_1, hi as entity_id_2 from {_GOLD2} anti join {_PAIRS2} using (lo, hi)"))
+@query(sql.oracle(f"select lo as entity_id_1, hi as entity_id_2 from {_GOLD2} anti join (select distinct least(l, r) as lo, greatest(l, r) as hi from ap_s2) using (lo, hi)"))
 def recall_missing_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return recall.missing_pairs(fx.candidates(spark, d, "s2"), _gold2(spark, d))
+    """True pairs that address prefixes alone miss, as addresses are missing."""
+    return recall.missing_pairs(fx.address_prefix(spark, d, "s2"), _gold2(spark, d))
 
 
 _COVERAGE = f"""select m as method, count(*) as candidates, count(distinct l || ' ' || r) filter (hit) as gt_pairs_found,
@@ -311,9 +325,10 @@ def recall_s1_s3(spark: SparkSession, d: str) -> DataFrame:
     return _recall(recall.evaluate_candidates(fx.records(spark, d), fx.candidates(spark, d, "s3"), "S1_S3"))
 
 
-@query(sql.oracle("select s1_id, target_id from tgt where target_source = 's3' and (s1_id, target_id) not in (select (l, r) from cand_s3)"))
+@query(sql.oracle("select s1_id, target_id from tgt where target_source = 's3' and (s1_id, target_id) not in (select (l, r) from ap_s3)"))
 def recall_missing_targets(spark: SparkSession, d: str) -> DataFrame:
-    return recall.missing_targets(fx.records(spark, d), fx.candidates(spark, d, "s3"), "S1_S3")
+    """Targets that address prefixes alone miss."""
+    return recall.missing_targets(fx.records(spark, d), fx.address_prefix(spark, d, "s3"), "S1_S3")
 
 
 _HITS = "(select t.s1_id, count(*) as n, count(c.l) as f from tgt t left join cand_s2 c on c.l = t.s1_id and c.r = t.target_id where target_source = 's2' group by 1)"
@@ -448,6 +463,52 @@ def feature_stats(spark: SparkSession, d: str) -> DataFrame:
     return feats.feature_statistics(fx.features(spark, d, "s2"), fx.features(spark, d, "s3"))
 
 
+_SORTED = "array_to_string(list_sort(string_split(nm, ' ')), ' ')"
+#: Longest common subsequences, one character of b at a time: the new row is the running maximum of what the character adds to the old one.
+_LCS = f""", named as materialized (select p.l, p.r, p.kind, a.nm = '' or b.nm = '' as none, (select {_SORTED} from (select a.nm)) as a, (select {_SORTED} from (select b.nm)) as b
+  from smp_s2 p join sets a on a.entity_id = p.l join sets b on b.entity_id = p.r),
+steps as (
+  select a, b, 0 as i, list_transform(range(length(a) + 1), lambda x: 0) as best from (select distinct a, b from named)
+  union all
+  select a, b, i + 1, list_concat([0], list_transform(range(1, length(a) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(best[k + 1], case when substr(a, k, 1) = substr(b, i + 1, 1) then best[k] + 1 else 0 end)))))
+  from steps where i < length(b)),
+lcs as materialized (select a, b, 2.0::double * best[length(a) + 1] / greatest(length(a) + length(b), 1) as ratio from steps where i = length(b))
+select l as source1_entity_id, r as candidate_entity_id, kind as negative_type, round(case when none then 0.0 else ratio end, 9) as name_token_sort_ratio from named join lcs using (a, b)"""
+
+
+@query(sql.PREFIX.replace("with ", "with recursive ", 1) + _LCS)
+def features_token_sort(spark: SparkSession, d: str) -> DataFrame:
+    """The token-sort ratio: twice the longest common subsequence of the sorted names over their lengths."""
+    return fx.features(spark, d, "s2", ratios=True).select(S1_ID, "candidate_entity_id", "negative_type", F.round("name_token_sort_ratio", 9).alias("name_token_sort_ratio"))
+
+
+_LOADED = "select candidate_source, count(*) as n_rows, cast(sum(label) as bigint) as n_positive, round(sum(name_levenshtein), 4) as sum_levenshtein from feat_{} group by 1"
+
+
+@query(sql.oracle(_LOADED.format("s3")))
+def load_features(spark: SparkSession, d: str) -> DataFrame:
+    """Both stored feature tables read together, and of these one pair type's rows."""
+    from kinlink.sources import tables
+
+    paths = []
+    for right in ("s2", "s3"):
+        paths.append(tables.scratch_path(spark, f"stored-{right}"))
+        tables.write_parquet(fx.features(spark, d, right), paths[-1])
+    names = [f for f in feats.FEATURES if f not in feats.RATIOS]
+    rows = tables.load_features(spark, paths, "S1_S3", names)
+    return rows.groupBy("candidate_source").agg(F.count("*").alias("n_rows"), F.sum("label").alias("n_positive"), F.round(F.sum("name_levenshtein"), 4).alias("sum_levenshtein"))
+
+
+@query(sql.oracle("select count(*) as n_rows, 0::bigint as n_differences from norm"))
+def parquet_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the normalised entities, and how many of them differ after writing and reading them."""
+    from kinlink.sources import tables
+
+    rows = fx.entities(spark, d)
+    differences = tables.roundtrip_differences(rows, tables.scratch_path(spark, "roundtrip")).agg(F.count("*").alias("n_differences"))
+    return rows.agg(F.count("*").alias("n_rows")).join(F.broadcast(differences))
+
+
 # --- splits and metrics -------------------------------------------------------------------------------------------------------
 
 _SPLIT = "select l as source1_entity_id, row_number() over (order by md5('42|' || l), l) <= greatest(floor(count(*) over () * 0.2), 1) as is_validation from (select distinct l from smp_s2)"
@@ -621,7 +682,7 @@ def _evaluated(spark: SparkSession, d: str, prefix: str = "") -> dict[str, DataF
 
         def pairs(right: str = right) -> DataFrame:
             names = sorted({p for e in chosen for p in e.parts})
-            return experiments.run_candidates(chosen, experiments.strategy_tables(left, fx.side(spark, d, right), names))
+            return experiments.run_candidates(chosen, experiments.strategy_tables(left, fx.side(spark, d, right), names, most=max(e.cap for e in chosen)))
 
         rows = fx.kept(spark, d, f"runs-{right}-{prefix}", pairs)
         out[pair_type] = experiments.evaluate_runs(chosen, rows, recs, left, pair_type)

@@ -27,8 +27,12 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the folder all machines share: below ``spark.checkpoint.dir``, or the warehouse where that is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new path in the folder all machines share: below ``spark.checkpoint.dir``, or, with a local master only, the warehouse where that is unset."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/kinlink-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,3 +1,5 @@
+import random
+
 from kinlink.config import BlockingConfig
 from kinlink.operators import blocking as b
 from tests.helpers import CANDIDATES, NORMALIZED, entity, rows
@@ -13,7 +15,7 @@ def test_tfidf_both_forms_agree(spark):
     left, right = _tables(spark)
     for k in (1, 2, 5):
         index = rows(b.tfidf_candidates(left, right, k))
-        assert index == rows(b.tfidf_candidates(left, right, k, index_weights=0))
+        assert index == rows(b.tfidf_candidates(left, right, k, index_weights=0)) == rows(b.tfidf_candidates(left, right, k, index_weights=0, cell_weights=7))
         assert all(0.05 <= r[2] <= 1.000000001 for r in index)
     best = {r[0]: r[1] for r in rows(b.tfidf_candidates(left, right, 1))}
     assert best == {"S1-1": "S2-1", "S1-2": "S2-2"}
@@ -70,6 +72,27 @@ def test_merge(spark):
     assert [r[2] for r in rows(b.boosted(a))] == [1.0, 1.0, 1.0]
 
 
+def test_grid_of_many_cells(spark):
+    """Names of few words, so with many ties and common grams."""
+    rng = random.Random(2)
+    names = lambda side, n: spark.createDataFrame([entity(f"{side}-{i:03}", " ".join(rng.choice(("alpha", "alpine", "beta", "betamax", "gamma")) for _ in range(2)), country=rng.choice(("DE", "FR", None))) for i in range(n)], NORMALIZED)
+    left, right = names("L", 40), names("R", 70)
+    for f in (b.tfidf_scored, lambda *a, **k: b.tfidf_scored(*a, group_col="country", **k)):
+        want = rows(f(left, right, 4))
+        assert len(want) == 160 and rows(f(left, right, 4, index_weights=0, cell_weights=300)) == want
+
+
+def test_pairs_beyond_the_cap_are_not_made(spark):
+    rng = random.Random(3)
+    side = lambda s, n: spark.createDataFrame([entity(f"{s}-{i:03}", f"acme {rng.choice('ab')} {i % 7}", "12 main street") for i in range(n)], NORMALIZED)
+    left, right = side("S1", 30), side("S2", 90)
+    assert b.address_prefix_candidates(left, right).count() == 30 * 90 and b.address_prefix_candidates(left, right, most=5).count() == 30 * 6
+    cut = lambda most: rows(b.merge_candidates([b.token_sort_candidates(left, right, most=most), b.address_prefix_candidates(left, right, most=most), b.tfidf_candidates(left, right, 3)], 5))
+    assert cut(5) == cut(None)
+    same = b.merge_candidates([b.token_sort_candidates(right, right), b.address_prefix_candidates(right, right), b.tfidf_candidates(right, right, 3)], 5, canonical=True)
+    assert rows(b.block_pair(right, right, BlockingConfig(tfidf_top_k=3, max_candidates_per_entity=5))) == rows(same)
+
+
 def test_cap_and_composition(spark):
     many = spark.createDataFrame([("A", f"R{i:03}", i / 200, "tfidf") for i in range(200)], CANDIDATES)
     kept = rows(b.merge_candidates([many], 100))
