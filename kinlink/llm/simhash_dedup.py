@@ -44,6 +44,7 @@ LEAF_LIMIT = 4096
 NEXT_BITS = 8
 SLICE = 1 << 18
 FRONTIER = 1 << 14
+PIECE = 250_000  # rows of units for each task, about
 BANDS, ROWS = 16, 4  # together 64 of the MinHashes
 SHINGLE = 5
 CHECK_BITS = 512
@@ -318,8 +319,8 @@ def _unit_links(rows: dict[str, np.ndarray], tries: list[tuple[int, int]], radiu
     return node[tied], node[label[tied]]
 
 
-def trie_units(prints: DataFrame, radius: int, leaf_limit: int, checks: list[str]) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """``(trie, key, i, j, side, fp, node, *checks)``: the rows of each unit of work, and the tries that were made.
+def trie_units(prints: DataFrame, radius: int, leaf_limit: int, checks: list[str]) -> tuple[DataFrame, list[tuple[int, int]], int]:
+    """``(trie, key, i, j, side, fp, node, *checks)``: the rows of each unit of work; the tries that were made; and about how many rows they take.
 
     A unit is a subtree (``trie``, ``key``) or, in a large one, a pair of its parts ``i <= j``, the rows of ``j`` on side 1.
     """
@@ -340,7 +341,7 @@ def trie_units(prints: DataFrame, radius: int, leaf_limit: int, checks: list[str
     own = "next * 1048576L + own % filter(parts, x -> x.next = next)[0].parts"
     theirs = f"flatten(transform(filter(parts, x -> bit_count(x.next ^ next) <= {radius}), x -> transform(sequence(0, x.parts - 1), p -> x.next * 1048576L + p)))"
     seats = f"if(parts is null, array(struct(0L as i, 0L as j, 0 as side)), transform({theirs}, p -> struct(least(p, {own}) as i, greatest(p, {own}) as j, if(p < {own}, 1, 0) as side)))"
-    return met.withColumn("s", F.explode(F.expr(seats))).select("trie", "key", "s.i", "s.j", "s.side", "fp", "node", *checks), tries
+    return met.withColumn("s", F.explode(F.expr(seats))).select("trie", "key", "s.i", "s.j", "s.side", "fp", "node", *checks), tries, rows * len(tries)
 
 
 def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_LIMIT, checks: list[str] | None = None, check_radius: int = 0) -> DataFrame:
@@ -350,7 +351,7 @@ def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_L
     ``radius`` bits and their ``checks`` in at most ``check_radius`` altogether. A node has one row for each seed at most. Null ``fp`` link nothing.
     """
     spark, checks = prints.sparkSession, checks or []
-    dealt, tries = trie_units(prints, radius, leaf_limit, checks)
+    dealt, tries, rows = trie_units(prints, radius, leaf_limit, checks)
     unit = ["trie", "key", "i", "j"]
     rows_limit = 1 << 14
 
@@ -377,7 +378,7 @@ def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_L
             yield links(held)
 
     small_batches(spark)
-    pieces = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // PIECE)
     return dealt.repartition(pieces, *unit).sortWithinPartitions(*unit).mapInArrow(run, "u bigint, v bigint")
 
 

@@ -79,7 +79,7 @@ def test_tries_grow_with_the_table():
 
 def _units(spark, path):
     prints = s.fingerprint_documents(spark.read.parquet(path)).select("fp").distinct()
-    units, tries = s.trie_units(prints.selectExpr("0 as seed", "fp", "fp as node"), 4, s.LEAF_LIMIT, [])
+    units, tries, _ = s.trie_units(prints.selectExpr("0 as seed", "fp", "fp as node"), 4, s.LEAF_LIMIT, [])
     got = units.toPandas().sort_values(["trie", "key", "i", "j"], kind="stable")
     new = (got[["trie", "key", "i", "j"]] != got[["trie", "key", "i", "j"]].shift()).any(axis=1)
     rows = {c: got[c].to_numpy() for c in ("trie", "fp", "node")} | {"unit": new.cumsum().to_numpy(), "side": got["side"].to_numpy().astype(np.int64)}
