@@ -4,6 +4,7 @@ Every line is good or bad. A line's features describe its own words and characte
 it; a 2 x 2 transition table ties neighbours. Forward-backward gives each line's marginal of being good; a
 document's quality is the mean of its lines' marginals, weighted by length, put through a logistic curve that was fitted
 on the training documents (so that 0.5 parts the classes at their natural rates). Only a text's characters are looked at.
+A document is scored whole, as forward-backward needs all its lines: that takes about 200 bytes of memory a line besides its text.
 
 Training takes at most ``SAMPLE`` labelled documents of each class, of ``SAMPLE_BYTES`` and ``SAMPLE_LINES`` at most (a bounded, documented
 sample, drawn by digest over all labels; its features take 74 MB at most); each line bears its document's label. Scoring reads every line of every text.
@@ -33,6 +34,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 _DIGIT = re.compile(r"\d")
 _STOP = re.compile(r"[.!?]")
 OWN = 12
+LINES = 1 << 14  # lines of a document whose features are made at once
 
 
 def line_features(line: str) -> list[float]:
@@ -63,8 +65,8 @@ def line_features(line: str) -> list[float]:
 def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features (lines x 3 * OWN: its own, the previous and the next line's) and lengths of a text's lines; an empty text has one empty line."""
     lines = text.split("\n")
-    own = np.array([line_features(x) for x in lines], dtype=np.float32)
-    return own, np.array([len(x) + 1 for x in lines], dtype=np.float32)
+    own = np.concatenate([np.array([line_features(x) for x in lines[at : at + LINES]], dtype=np.float32) for at in range(0, len(lines), LINES)])
+    return own, np.fromiter((len(x) + 1 for x in lines), dtype=np.float32, count=len(lines))
 
 
 def with_neighbours(own: np.ndarray) -> np.ndarray:
@@ -86,6 +88,16 @@ class LineCrf:
         x = (features - self.mean) / self.scale
         return x @ self.weights[:-1] + self.weights[-1]
 
+    def emissions_of(self, own: np.ndarray) -> np.ndarray:
+        """The same from a document's own features, ``LINES`` lines at a time."""
+        none = np.zeros((1, own.shape[1]), dtype=own.dtype)
+        parts = []
+        for at in range(0, len(own), LINES):
+            to = min(at + LINES, len(own))
+            around = np.concatenate([own[at - 1 : at] if at else none, own[at:to], own[to : to + 1] if to < len(own) else none])
+            parts.append(self.emissions(with_neighbours(around)[1:-1]))
+        return np.concatenate(parts)
+
     def marginals(self, e: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """P(good) of each line, expected pair counts and log partition of padded documents (docs x lines)."""
         docs, lines = e.shape
@@ -118,7 +130,7 @@ class LineCrf:
             while to < len(order) and len(documents[order[to]][1]) * (to + 1 - at) <= PADDED:
                 to += 1
             pick = order[at:to]
-            e, mask = self.padded([self.emissions(with_neighbours(documents[i][0])) for i in pick])
+            e, mask = self.padded([self.emissions_of(documents[i][0]) for i in pick])
             length, _ = self.padded([documents[i][1] for i in pick])
             good, _, _ = self.marginals(e, mask)
             out[pick] = (good * length * mask).sum(axis=1) / length.sum(axis=1)
@@ -249,7 +261,7 @@ def label_lines(docs: DataFrame, model: LineCrf, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                e, mask = model.padded([model.emissions(with_neighbours(document_features(text)[0]))])
+                e, mask = model.padded([model.emissions_of(document_features(text)[0])])
                 good = model.marginals(e, mask)[0][0]
                 yield pa.RecordBatch.from_arrays([pa.array([doc] * len(good), pa.int64()), pa.array(range(len(good)), pa.int64()), pa.array(good), pa.array(good >= 0.5)], schema=schema)
 

@@ -1,4 +1,5 @@
 import itertools
+import math
 import zlib
 
 import numpy as np
@@ -34,6 +35,50 @@ def test_scores_do_not_depend_on_the_batch():
     assert np.allclose(model.score(docs), [model.score([d])[0] for d in docs])
 
 
+def _plain_features(line):
+    words = line.split()
+    if not words:
+        return [0.0] * 11 + [1.0]
+    n, c = len(words), len(line)
+    upper = sum("A" <= x <= "Z" or "À" <= x <= "Ö" or "Ø" <= x <= "Þ" for x in line)
+    symbols = sum(not (x.isalnum() or x == "_" or x.isspace() or x in ".,;:'\"()-") for x in line)
+    return [
+        math.log(1 + c) / 5, sum(x.isalnum() and not x.isdecimal() for x in line) / c, upper / c, sum(x.isdecimal() for x in line) / c, symbols / c, c / n / 10, len(set(words)) / n,
+        sum(a == b for a, b in zip(words, words[1:], strict=False)) / n, sum(w[-1] in "!#$%&*|+=~^@<>" for w in words) / n, sum(len(w) <= 3 for w in words) / n, sum(x in ".!?" for x in line) / n, 0.0,
+    ]
+
+
+def _plain_score(model, text):
+    """A document's score by all labellings of its lines."""
+    lines = text.split("\n")
+    own = [_plain_features(x) for x in lines]
+    none = [0.0] * 12
+    x = [[*own[i], *(own[i - 1] if i else none), *(own[i + 1] if i + 1 < len(own) else none)] for i in range(len(own))]
+    e = [sum(w * (v - m) / s for w, v, m, s in zip(model.weights, row, model.mean, model.scale, strict=False)) + model.weights[-1] for row in x]
+    good, z = [0.0] * len(lines), 0.0
+    for path in itertools.product((0, 1), repeat=len(lines)):
+        weight = math.exp(sum(e[t] for t in range(len(path)) if path[t]) + sum(model.pairs[a, b] for a, b in zip(path, path[1:], strict=False)))
+        z += weight
+        for t, y in enumerate(path):
+            good[t] += weight * y
+    sizes = [len(x) + 1 for x in lines]
+    p = min(max(sum(g / z * n for g, n in zip(good, sizes, strict=True)) / sum(sizes), 1e-6), 1 - 1e-6)
+    return 1 / (1 + math.exp(-(model.slope * math.log(p / (1 - p)) + model.offset)))
+
+
+def test_scores_against_all_labellings(spark, small_dir, edge_docs, monkeypatch):
+    """Features, marginals, weighting and curve of a trained model, for every text of up to eight lines."""
+    docs, labels = spark.read.parquet(f"{small_dir}/documents.parquet"), spark.read.parquet(f"{small_dir}/labels.parquet")
+    model = q.train(docs, labels)
+    texts = [r["text"] or "" for r in docs.collect() + edge_docs.collect()]
+    texts = [t for t in texts if t.count("\n") < 8] + ["A LOUD!! line\n\nand then words. 12 of them", "\n", "x_y À ²③"]
+    assert len(texts) > 50
+    got = model.score([q.document_features(t) for t in texts])
+    assert np.allclose(got, [_plain_score(model, t) for t in texts], atol=1e-4)
+    monkeypatch.setattr(q, "LINES", 2)  # features made two lines at a time
+    assert np.allclose(got, model.score([q.document_features(t) for t in texts]))
+
+
 def _held(i):
     return zlib.crc32(str(i).encode()) % 3 == 1
 

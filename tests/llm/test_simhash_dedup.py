@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -146,6 +148,26 @@ def test_stage_finds_block_edits(spark):
     assert len(alike & kept) <= 3  # 99 % are found
 
 
+def test_stage_against_all_pairs_of_the_table(spark):
+    """By brute force over the table: copies of a similarity of 0.8 or more that stay together, and documents that go without one."""
+    docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    sets = {i: s.shingles_of(t.encode()) for i, t in docs.items()}
+    having = {}
+    for i, grams in sets.items():
+        for g in grams:
+            having.setdefault(g, []).append(i)
+    shared = Counter(pair for ids in having.values() for pair in combinations(sorted(ids), 2))
+    alike = {(a, b): n / (len(sets[a]) + len(sets[b]) - n) for (a, b), n in shared.items()}
+    kept = {r["doc_id"] for r in s.keep_one_of_each(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).collect()}
+    near = [p for p, j in alike.items() if j >= 0.8]
+    assert len(near) > 50 and sum(a in kept and b in kept for a, b in near) <= 0.02 * len(near)
+    most = Counter()
+    for (a, b), j in alike.items():
+        most[a], most[b] = max(most[a], j), max(most[b], j)
+    gone = [most[i] for i in docs.keys() - kept]
+    assert min(gone) > 0.6 and sum(j < 0.75 for j in gone) <= 0.05 * len(gone)
+
+
 @pytest.mark.parametrize("limit", [4096, 100])
 def test_many_equal_prints(spark, limit):
     rng = random.Random(6)
