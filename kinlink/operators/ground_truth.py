@@ -17,17 +17,19 @@ def source_of(entity_id: Column, strict: bool = False) -> Column:
     return out
 
 
-def truth_records(truth: DataFrame, id_col: str = "source1_entity_id", list_col: str = "matched_entity_ids") -> DataFrame:
+def truth_records(truth: DataFrame, id_col: str = "source1_entity_id", list_col: str = "matched_entity_ids", order_col: str | None = None) -> DataFrame:
     """``s1_id, targets array<string>, s2_targets, s3_targets, is_singleton`` of each entity; header names are trimmed.
 
     An empty list and the text ``nan`` (in any case) make a singleton; an entity that only lists unknown prefixes isn't one, but has no targets.
-    Entities listed twice keep the union of their targets.
+    Entities listed twice keep the union of their targets; with ``order_col``, the last listing by that column wins (a table has no order of its own).
     """
     trimmed = truth.select(*(F.col(f"`{c}`").alias(c.strip()) for c in truth.columns))
     raw = F.trim(F.coalesce(F.col(list_col), F.lit("")))
     listed = F.when(F.lower(raw) == "nan", F.array().cast("array<string>")).otherwise(F.filter(F.transform(F.split(raw, ","), lambda x: F.trim(x)), lambda x: x != ""))
-    rows = trimmed.select(F.trim(id_col).alias("s1_id"), F.array_sort(F.array_distinct(listed)).alias("targets"))
-    rows = rows.groupBy("s1_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("targets")))).alias("targets"))
+    order = F.lit(0) if order_col is None else F.col(order_col)
+    rows = trimmed.select(F.trim(id_col).alias("s1_id"), F.array_sort(F.array_distinct(listed)).alias("targets"), order.alias("at"))
+    kept = F.array_sort(F.array_distinct(F.flatten(F.collect_list("targets")))) if order_col is None else F.max_by("targets", "at")
+    rows = rows.groupBy("s1_id").agg(kept.alias("targets"))
     of = lambda s: F.filter("targets", lambda x: x.startswith(SOURCE_PREFIXES[s]))
     return rows.select("s1_id", "targets", of("s2").alias("s2_targets"), of("s3").alias("s3_targets"), (F.size("targets") == 0).alias("is_singleton"))
 

@@ -21,6 +21,7 @@ from kinlink.sources import tables
 
 PAIRS = {"S1_S2": "s2", "S1_S3": "s3"}
 SOURCES = ("s1", "s2", "s3")
+SPOT_CHECKS = {"s2": 3, "s3": 2}
 
 
 def raw_source(spark: SparkSession, c: PipelineConfig, source: str, rows: int | None = None) -> DataFrame:
@@ -64,9 +65,12 @@ def audit(spark: SparkSession, c: PipelineConfig) -> Mapping[str, Any]:
     report["passed"] = all(r["passed"] for s in SOURCES for r in report[s])
     report["inventory"] = tables.list_files(spark, c.paths.input_stage("processed"))
     records = ground_truth.truth_records(truth(spark, c))
-    for right in PAIRS.values():
+    report["countries"] = {s: tables.table_report(audits.audit_countries(processed(spark, c, s)))[0] for s in SOURCES}
+    for pair_type, right in PAIRS.items():
         if tables.exists(spark, c.paths.input_stage("candidates") + f"s1_{right}"):
-            report[f"candidates_{right}"] = tables.table_report(audits.audit_candidates(candidates(spark, c, right), records))
+            pairs = candidates(spark, c, right)
+            report[f"candidates_{right}"] = tables.table_report(audits.audit_candidates(pairs, records))
+            report[f"spot_checks_{right}"] = tables.table_report(audits.spot_checks(pairs, records, processed(spark, c, "s1"), processed(spark, c, right), pair_type, SPOT_CHECKS[right]))
     return _report(spark, c, "audit", report)
 
 

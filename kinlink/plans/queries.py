@@ -671,6 +671,42 @@ def audit_candidates(spark: SparkSession, d: str) -> DataFrame:
     return audits.audit_candidates(fx.candidates(spark, d, "s2"), fx.records(spark, d))
 
 
+@query(
+    sql.oracle(
+        "select count(distinct normalized_country) as n_countries, count(*) filter (normalized_country not in ('Us', 'India', 'United States', 'US', 'us', 'india')) as n_rows_beyond,"
+        " count(*) filter (normalized_country not in ('Us', 'India', 'United States', 'US', 'us', 'india')) = 0 as narrow_warning from norm where source = 's1'"
+    )
+)
+def audit_countries(spark: SparkSession, d: str) -> DataFrame:
+    return audits.audit_countries(fx.side(spark, d, "s1"))
+
+
+_SPOT = """(select '{1}' as pair_type, l as source1_entity_id, r as candidate_entity_id, '{0}' as candidate_source, score as blocking_score, method as blocking_method,
+  a.normalized_name as s1_normalized_name, a.normalized_address as s1_normalized_address, a.normalized_country as s1_normalized_country,
+  b.normalized_name as cand_normalized_name, b.normalized_address as cand_normalized_address, b.normalized_country as cand_normalized_country,
+  (select string_agg(target_id, ',' order by target_id) from tgt t where t.s1_id = c.l and target_source = '{0}') as gt_targets
+  from (select c.* from cand_{0} c join tgt t on t.s1_id = c.l and t.target_id = c.r order by l, r limit {2}) c join norm a on a.entity_id = c.l join norm b on b.entity_id = c.r)"""
+
+
+@query(sql.oracle(_SPOT.format("s2", "S1_S2", 3) + " union all " + _SPOT.format("s3", "S1_S3", 2)))
+def audit_spot_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Three true pairs of one pair type and two of the other, to be read."""
+    of = lambda p, r, n: audits.spot_checks(fx.candidates(spark, d, r), fx.records(spark, d), fx.side(spark, d, "s1"), fx.side(spark, d, r), p, n)
+    return of("S1_S2", "s2", 3).unionByName(of("S1_S3", "s3", 2))
+
+
+_LAST = """select s1_id, array_to_string(case when new in ('', 'nan') then [] else list_sort(list_distinct(list_filter(string_split(new, ','), lambda x: x <> ''))) end, ',') as targets
+  from (select source1_entity_id as s1_id, case when right(source1_entity_id, 1) = '3' then 'S2-1,S3-2' else matched_entity_ids end as new from truth)"""
+
+
+@query(sql.oracle(_LAST))
+def gt_last_listing(spark: SparkSession, d: str) -> DataFrame:
+    """Entities listed twice, where the last listing wins: ids ending in 3 are listed again."""
+    wide = fx.wide_truth(spark, d).withColumn("line", F.lit(1))
+    again = wide.where("source1_entity_id like '%3'").withColumn("matched_entity_ids", F.lit("S2-1,S3-2")).withColumn("line", F.lit(2))
+    return ground_truth.truth_records(wide.unionByName(again), order_col="line").select("s1_id", F.array_join("targets", ",").alias("targets"))
+
+
 # --- experiments --------------------------------------------------------------------------------------------------------------
 
 
