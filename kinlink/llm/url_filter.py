@@ -31,7 +31,7 @@ TOPICS: dict[str, tuple[str, ...]] = {
         "torrent torrents warez crack cracked keygen pirate pirated nulled serials",
         "spam seo backlinks ads adserver popup popunder popups clickbait tracker doorway",
         "payday replica replicas rolex counterfeit phishing malware spyware ransomware cheats doubler miracle cheap",
-        "free win click track links cash money online best loans hack drugs farm bonus watch",
+        "free win click track links cash money online best loans hack drugs farm bonus watch blog shop store",
     ),
     "allow": (
         "news world today daily times post journal sports weather politics business press radio",
@@ -40,8 +40,8 @@ TOPICS: dict[str, tuple[str, ...]] = {
         "code docs software project data open source manual guide wiki forum developer cloud hub lab systems",
         "music art museum film review cinema books book poetry theater photo gallery",
         "garden home recipes food kitchen travel hotel maps bike family kids game games puzzles birds",
-        "blog articles people events about contact archive community shop store bank insurance jobs company group studio",
-        "free win click track links cash money online best loans hack drugs farm bonus watch",
+        "articles people events about contact archive community bank insurance jobs company group studio",
+        "free win click track links cash money online best loans hack drugs farm bonus watch blog shop store",
     ),
 }
 THRESHOLD = 0.5
@@ -151,14 +151,17 @@ class Cutter:
 
 
 class UrlModel:
-    """A cutter, and each word's weight: the log ratio of its smoothed probabilities in unwanted and in ordinary addresses."""
+    """A cutter, and each word's weight: the log ratio of its smoothed probabilities in unwanted and in ordinary addresses.
+
+    Counts of both classes are brought to one total before they are smoothed, so that a word that neither class has is as likely in both.
+    """
 
     def __init__(self, cutter: Cutter, block: dict[str, int], allow: dict[str, int], block_prior: float = BLOCK_PRIOR) -> None:
         self.cutter = cutter
-        known = set(block) | set(allow)
-        mass = lambda c: math.log(sum(c.values()) + SMOOTHING * (len(known) + 1))  # noqa: E731  one more for all unseen words
-        self.unseen = mass(allow) - mass(block)
-        self.weight = {w: math.log(block.get(w, 0) + SMOOTHING) - math.log(allow.get(w, 0) + SMOOTHING) + self.unseen for w in known}
+        totals = [sum(c.values()) for c in (block, allow)]
+        rate = lambda c, w, total: math.log(c.get(w, 0) * sum(totals) / 2 / max(total, 1) + SMOOTHING)
+        self.unseen = 0.0
+        self.weight = {w: rate(block, w, totals[0]) - rate(allow, w, totals[1]) for w in {*block, *allow}}
         self.prior = math.log(block_prior / (1 - block_prior))
 
     def score(self, host: str, path: str) -> float:
