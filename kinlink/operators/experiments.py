@@ -69,6 +69,12 @@ def strategy_tables(left: DataFrame, right: DataFrame, names: Sequence[str], top
     return out
 
 
+def release(strategies: Mapping[str, DataFrame]) -> None:
+    """Give back the memory of strategies' tables, once the runs made of them are stored."""
+    for table in strategies.values():
+        table.unpersist()
+
+
 def run_candidates(experiments: Sequence[Experiment], tables: Mapping[str, DataFrame]) -> DataFrame:
     """``experiment, entity_id_left, entity_id_right``: merged and capped pairs of all experiments."""
     runs: dict[str, list[tuple[str, int, int]]] = {}

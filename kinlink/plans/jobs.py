@@ -153,9 +153,10 @@ def compare_blocking(spark: SparkSession, c: PipelineConfig) -> Mapping[str, Any
     left, records = processed(spark, c, "s1"), ground_truth.truth_records(truth(spark, c))
     found, countries = {}, {}
     for pair_type, right in PAIRS.items():
-        pairs = experiments.run_candidates(runs, experiments.strategy_tables(left, processed(spark, c, right), names, c.blocking.tfidf_top_k, most=max(e.cap for e in runs)))
+        strategies = experiments.strategy_tables(left, processed(spark, c, right), names, c.blocking.tfidf_top_k, most=max(e.cap for e in runs))
         path = tables.scratch_path(spark, f"runs-{right}")
-        tables.write_parquet(pairs, path)
+        tables.write_parquet(experiments.run_candidates(runs, strategies), path)
+        experiments.release(strategies)
         pairs = spark.read.parquet(path)
         found[pair_type] = experiments.evaluate_runs(runs, pairs, records, left, pair_type)
         countries[pair_type] = tables.table_report(experiments.country_breakdown(pairs, records, left, pair_type))

@@ -715,12 +715,15 @@ def _evaluated(spark: SparkSession, d: str, prefix: str = "") -> dict[str, DataF
     chosen = [e for e in experiments.all_experiments() if e.name.startswith(prefix)]
     left, recs, out = fx.side(spark, d, "s1"), fx.records(spark, d), {}
     for pair_type, right in (("S1_S2", "s2"), ("S1_S3", "s3")):
+        strategies: dict[str, DataFrame] = {}
 
-        def pairs(right: str = right) -> DataFrame:
+        def pairs(right: str = right, strategies: dict[str, DataFrame] = strategies) -> DataFrame:
             names = sorted({p for e in chosen for p in e.parts})
-            return experiments.run_candidates(chosen, experiments.strategy_tables(left, fx.side(spark, d, right), names, most=max(e.cap for e in chosen)))
+            strategies |= experiments.strategy_tables(left, fx.side(spark, d, right), names, most=max(e.cap for e in chosen))
+            return experiments.run_candidates(chosen, strategies)
 
         rows = fx.kept(spark, d, f"runs-{right}-{prefix}", pairs)
+        experiments.release(strategies)
         out[pair_type] = experiments.evaluate_runs(chosen, rows, recs, left, pair_type)
     return out
 
