@@ -49,8 +49,8 @@ def test_bounds_lose_nothing(spark, small_dir, edge_docs):
     texts += [f"Intro words.\n\n{a} And more.\n{b}\n\nTail" for (_, a), (_, b) in itertools.islice(itertools.combinations(lic.TEMPLATES, 2), 0, 300, 17)]
     made = lic.Templates()
     for threshold in (0.6, 0.8):
-        for t in texts[:: 1 if threshold == 0.8 else 3]:
-            if len(t) < 6000:
+        for t in texts[:: 10 if threshold == 0.8 else 30]:
+            if len(t) < 3000:
                 assert lic.scan(t, made, threshold) == _brute(t, threshold)
 
 
