@@ -116,12 +116,15 @@ def make_features(spark: SparkSession, c: PipelineConfig) -> Mapping[str, Any]:
     return _report(spark, c, "feature_stats", {"features": tables.table_report(features.feature_statistics(*made))})
 
 
+def _train_config(c: PipelineConfig) -> model.TrainConfig:
+    return model.TrainConfig(**{k: v for k, v in c.model.items() if k in model.TrainConfig.__dataclass_fields__})
+
+
 def train(spark: SparkSession, c: PipelineConfig, pair_type: str = "both") -> Mapping[str, Any]:
     """Fit on the features of one pair type or of both; the model, its metrics and importances are stored."""
     paths = [c.paths.stage("features") + f"features_s1_{r}" for p, r in PAIRS.items() if pair_type in ("both", p)]
     rows = tables.load_features(spark, paths, pair_type)
-    known = {f for f in model.TrainConfig.__dataclass_fields__}
-    config = model.TrainConfig(**{k: v for k, v in c.model.items() if k in known})
+    config = _train_config(c)
     fitted, metrics, report = model.train_and_evaluate(rows, config)
     fitted.write().overwrite().save(c.paths.stage("models") + f"gbt_{pair_type}")
     scored = model.score(fitted, evaluate.entity_split(rows, config.validation_fraction, config.seed).where("is_validation"))
@@ -134,8 +137,8 @@ def diagnose(spark: SparkSession, c: PipelineConfig) -> Mapping[str, Any]:
     """Does the model lean on how pairs were found? Scores by kind of pair, importances, and a model of texts alone."""
     rows = tables.load_features(spark, [c.paths.stage("features") + f"features_s1_{r}" for r in PAIRS.values()])
     labeled = reduce(DataFrame.unionByName, (spark.read.parquet(c.paths.stage("features") + f"labeled_s1_{r}") for r in PAIRS.values()))
-    _, _, full = model.train_and_evaluate(rows)
-    _, metrics, _ = model.train_and_evaluate(rows, features=model.text_features())
+    _, _, full = model.train_and_evaluate(rows, _train_config(c))
+    _, metrics, _ = model.train_and_evaluate(rows, _train_config(c), model.text_features())
     auc = metrics.where("grp = 'ALL'").select("roc_auc").first()
     report = {
         "importance": leakage.metadata_share([(n, g) for n, g, _ in full["importance"]]),
