@@ -15,12 +15,14 @@ subtree of more than ``leaf_limit`` fingerprints is dealt out by its next bits,
 within the radius (and a part that still is too large, by hash), which loses no link.
 A unit returns a spanning forest of its links, never all pairs of a group.
 
-Copies with edits move more bits than exact links allow, so the corpus stage (``keep_one_of_each``) takes
-``BANDS`` prints of ``ROWS`` MinHashes each over five-word shingles and joins each of them by the same tries
-with radius 0: a pair of Jaccard similarity j is compared with a probability of 1 - (1 - j^ROWS)^BANDS (0.9998 at 0.8),
+Copies with edits move more bits of a SimHash than its radius allows, so the corpus stage (``keep_one_of_each``) takes
+``BANDS`` prints over five-word shingles, each a byte of ``ROWS`` MinHashes, and joins each of them by the same tries
+and radius: a MinHash that two texts don't share costs four bits on average, so a pair of Jaccard similarity j is met by a
+print with a probability of j^8 + 8 j^7 (1 - j) 163/256 + 28 j^6 (1 - j)^2 0.038 and by one of all with 0.9999 at 0.8,
 wherever the texts differ. A pair is accepted only if their sketches of ``CHECK_BITS`` one-bit MinHashes differ in at most
 ``CHECK_RADIUS`` bits (a similarity of j gives CHECK_BITS * (1 - j) / 2 on average, so a pair passes with a probability of
-0.98 at 0.8, 0.3 at 0.75 and 0.003 at 0.7).
+0.98 at 0.8, 0.3 at 0.75 and 0.003 at 0.7). The tries are walked twice (``checked_links``): with the distinct prints alone,
+then with the sketches of the texts whose prints met another.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ NEXT_BITS = 8
 SLICE = 1 << 18
 FRONTIER = 1 << 14
 PIECE = 250_000  # rows of units for each task, about
-BANDS, ROWS = 16, 4  # together 64 of the MinHashes
+BANDS, ROWS = 18, 8  # together 144 of the MinHashes, a byte of each
 SHINGLE = 5
 CHECK_BITS = 1024
 CHECK_RADIUS = 122
@@ -98,15 +100,13 @@ def shingles_of(raw: bytes) -> set[bytes]:
 
 
 def sketches(raw: bytes) -> list[int]:
-    """``BANDS`` prints, each a hash of ``ROWS`` MinHashes of the five-word shingles, and a sketch of one bit of each of ``CHECK_BITS`` MinHashes."""
+    """``BANDS`` prints, each the high bytes of ``ROWS`` MinHashes of the five-word shingles, and a sketch of one bit of each of ``CHECK_BITS`` MinHashes."""
     g = _hash_all(list(shingles_of(raw)))
     low = np.full(CHECK_BITS, 2**64 - 1, dtype=np.uint64)
     for at in range(0, len(g), 1 << 8):
         low = np.minimum(low, (g[at : at + (1 << 8), None] * _FACTORS[None, :]).min(axis=0))
     low = _mixed(low, 2)
-    prints = np.zeros(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        prints = _mixed(prints ^ low[k : BANDS * ROWS : ROWS], 3)
+    prints = (low[: BANDS * ROWS] >> np.uint64(56)).astype(np.uint8).view(np.uint64)
     return [*prints.tolist(), *np.packbits((low & np.uint64(1)).astype(bool), bitorder="little").view(np.uint64).tolist()]
 
 
@@ -332,8 +332,10 @@ def trie_units(prints: DataFrame, radius: int, leaf_limit: int, checks: list[str
     lead = F.array(*(F.struct((F.col("seed") * len(tries) + t).cast("int").alias("trie"), F.col("fp").bitwiseAND(mask(m)).alias("key"), after(a).alias("next")) for t, (m, a) in enumerate(tries)))
     keyed = prints.where("fp is not null").select("fp", "node", *checks, F.explode(lead).alias("s")).select("fp", "node", *checks, "s.*")
     # a subtree of more than leaf_limit has a part for each value of its next bits, and several by hash for a value that has more than leaf_limit
-    sizes = keyed.groupBy("trie", "key", "next").agg(F.count("*").alias("n")).groupBy("trie", "key").agg(F.sum("n").alias("n"), F.collect_list(F.struct("next", "n")).alias("nexts")).where("n > 1")
-    parts = sizes.select("trie", "key", F.expr(f"if(n > {leaf_limit}, transform(nexts, x -> struct(x.next as next, cast(ceil(x.n / {leaf_limit}) as int) as parts)), null) as parts"))
+    sizes = materialize(keyed.groupBy("trie", "key").agg(F.count("*").alias("n")).where("n > 1"), "subtree-sizes", rows * len(tries) // 2)
+    large = keyed.join(sizes.where(f"n > {leaf_limit}").select("trie", "key"), ["trie", "key"], "left_semi").groupBy("trie", "key", "next").agg(F.count("*").alias("n"))
+    large = large.groupBy("trie", "key").agg(F.collect_list(F.struct("next", F.ceil(F.col("n") / leaf_limit).cast("int").alias("parts"))).alias("parts"))
+    parts = sizes.select("trie", "key").join(large, ["trie", "key"], "left")
     # written before they are joined, so that the rows of a giant subtree can be split
     parts = materialize(parts, "subtrees", rows * len(tries) // 2)
     met = keyed.join(parts, ["trie", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.lit(1 << 20)).cast("int"))
@@ -382,6 +384,25 @@ def trie_links(prints: DataFrame, radius: int = RADIUS, leaf_limit: int = LEAF_L
     return dealt.repartition(pieces, *unit).sortWithinPartitions(*unit).mapInArrow(run, "u bigint, v bigint")
 
 
+def checked_links(nodes: DataFrame, prints: list[str], checks: list[str], radius: int, check_radius: int) -> DataFrame:
+    """``(u, v)`` as ``trie_links`` gives them, for ``nodes (node, *prints, *checks)``, each print a seed of its own.
+
+    Sketches are many times as wide as a print, so the tries are walked with the distinct prints alone first, and only
+    prints that met another one or that several nodes share are walked again, with the sketches: no link is lost.
+    """
+    seeds = F.explode(F.array(*(F.struct(F.lit(i).alias("seed"), F.col(f).alias("fp")) for i, f in enumerate(prints))))
+    slim = nodes.select("node", seeds.alias("s")).select("s.seed", "s.fp", "node")
+    distinct = materialize(slim.groupBy("seed", "fp").agg(F.count("*").alias("n")), "distinct-prints")
+    met = materialize(trie_links(distinct.select("seed", "fp", F.col("fp").alias("node")), radius), "met-prints")
+    # a value that met another one under a second seed only costs a few rows
+    shared = met.select(F.col("u").alias("fp")).union(met.select("v")).union(distinct.where("n > 1").select("fp")).distinct()
+    # both sides are written before they are joined, so that the rows of a print that many nodes share can be split
+    shared = materialize(shared, "shared-prints")
+    again = materialize(slim.join(shared, "fp", "left_semi").select("seed", "fp", "node"), "prints-to-check")
+    release(distinct, met, shared)
+    return trie_links(again.join(nodes.select("node", *checks), "node"), radius, checks=checks, check_radius=check_radius)
+
+
 def components(links: DataFrame, label: str = "components") -> DataFrame:
     """``(node, root)`` for every node of ``links (u, v)``: alternating large and small stars until nothing changes.
 
@@ -430,7 +451,7 @@ def groups(docs: DataFrame, radius: int = RADIUS, width: int = WIDTH) -> DataFra
 
 
 def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, f0 .. f15, c0 .. c15, digest)``: the sketches of every whole text, and its XXH64 as Spark has it; null text counts as empty."""
+    """``(doc_id, f0 .. f17, c0 .. c15, digest)``: the sketches of every whole text, and its XXH64 as Spark has it; null text counts as empty."""
     small_batches(docs.sparkSession)
     names = ["doc_id", *(f"f{i}" for i in range(BANDS)), *CHECKS, "digest"]
 
@@ -444,7 +465,7 @@ def sketch_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return slim.mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
 
 
-def keep_one_of_each(docs: DataFrame, radius: int = 0, check_radius: int = CHECK_RADIUS) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, radius: int = RADIUS, check_radius: int = CHECK_RADIUS) -> DataFrame:
     """``docs`` without near copies: of each group of linked documents, that of the smallest doc_id stays, once.
 
     All columns are kept as they are. Rows with a null doc_id are kept. Null texts count as empty, and empty texts are copies of each other.
@@ -456,9 +477,7 @@ def keep_one_of_each(docs: DataFrame, radius: int = 0, check_radius: int = CHECK
     twice = known.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
     first = known.groupBy(*own, *CHECKS).agg(F.min(F.struct("doc_id", "digest")).alias("first"))
     classes = materialize(first.withColumn("node", F.xxhash64(*own, *CHECKS) if twice else F.col("first.doc_id")), "copies", made.count())
-    seeds = F.explode(F.array(*(F.struct(F.lit(i).alias("seed"), F.col(f).alias("fp")) for i, f in enumerate(own))))
-    nodes = classes.select("node", *CHECKS, seeds.alias("s")).select("s.seed", "s.fp", "node", *CHECKS)
-    roots = components(trie_links(nodes, radius, checks=CHECKS, check_radius=check_radius), "near-copies")
+    roots = components(checked_links(classes.select("node", *own, *CHECKS), own, CHECKS, radius, check_radius), "near-copies")
     # one plan at every size: texts are dealt out by id, and ids are never sent whole to all machines
     if twice:
         rooted = classes.join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "first")

@@ -183,3 +183,42 @@ def test_texts_under_one_id(spark):
     rows = [(2, a), (1, a), (1, b), (3, b), (3, c), (3, c), (4, None), (4, ""), (5, c + " more")]
     kept = s.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert sorted((r["doc_id"], r["text"] or "") for r in kept.collect()) == [(1, a), (1, b), (3, c), (4, "")]
+
+
+def test_stage_walks_the_tries(spark, monkeypatch):
+    """The stage's own joins, on its own table: node pairs are dropped by their bits, few leaf pairs are met, and prints link that aren't equal."""
+    calls, real = [], s.trie_links
+    monkeypatch.setattr(s, "trie_links", lambda prints, radius, *a, **k: calls.append((prints.toPandas(), radius, k.get("checks"))) or real(prints, radius, *a, **k))
+    s.keep_one_of_each(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rows, radius, _ = calls[0]
+    rows = rows.sort_values("seed", kind="stable")
+    tries, seed = s.tries_of(int(rows["seed"].value_counts().max()), radius), rows["seed"].to_numpy()
+    # a unit for each print and subtree
+    dealt = [(t, seed, rows["fp"].to_numpy(), rows["fp"].to_numpy() & np.uint64(m).view(np.int64)) for t, (m, _) in enumerate(tries)]
+    table = np.concatenate([np.stack([np.full(len(k), t), sd, k, fp], axis=1) for t, sd, fp, k in dealt])
+    table = table[np.lexsort((table[:, 2], table[:, 1], table[:, 0]))]
+    unit = np.cumsum(np.r_[True, (table[1:, :3] != table[:-1, :3]).any(axis=1)])
+    counts, fps = {}, table[:, 3].copy()
+    units = {"trie": table[:, 0], "unit": unit, "side": np.zeros(len(unit), dtype=np.int64), "fp": fps, "node": np.arange(len(unit)), "check": np.zeros((len(unit), 0), dtype=np.uint64)}
+    u, v = s._unit_links(units, tries, radius, 0, counts)
+    sizes = np.bincount(unit)
+    assert counts["pruned"] > 20 * counts["leaves"] and counts["leaves"] < (sizes * (sizes - 1) // 2).sum() / 50
+    assert (fps[u] != fps[v]).sum() > 100
+
+
+@pytest.mark.parametrize("limit", [4096, 30])
+def test_checked_links_against_all_pairs(spark, monkeypatch, limit):
+    """Prints that are shared, near or far, with sketches that pass or don't; subtrees that are dealt out in parts."""
+    monkeypatch.setattr(s.trie_links, "__defaults__", (4, limit, None, 0))
+    rng = random.Random(limit)
+    flip = lambda x, n: x ^ sum(1 << b for b in rng.sample(range(64), n))
+    centres, nodes = [[rng.getrandbits(64) for _ in range(3)] for _ in range(60)], []
+    for i in range(900):
+        f0, f1, c = centres[min(rng.randrange(60), rng.randrange(60))]
+        nodes.append((i, flip(f0, rng.choice([0, 0, 1, 3, 6])), flip(f1, rng.choice([0, 2, 20])), flip(c, rng.choice([0, 1, 4]))))
+    signed = [(i, *np.array(x, dtype=np.uint64).view(np.int64).tolist()) for i, *x in nodes]
+    links = s.checked_links(spark.createDataFrame(signed, "node bigint, f0 bigint, f1 bigint, c bigint"), ["f0", "f1"], ["c"], 4, 3)
+    near = [(a[0], b[0]) for a, b in combinations(nodes, 2) if min((a[k] ^ b[k]).bit_count() for k in (1, 2)) <= 4 and (a[3] ^ b[3]).bit_count() <= 3]
+    want = s.forest(len(nodes), *np.array(near).T)
+    root = {r["node"]: r["root"] for r in s.components(links).collect()}
+    assert len(set(want.tolist())) > 60 and [root.get(i, i) for i in range(len(nodes))] == want.tolist()
