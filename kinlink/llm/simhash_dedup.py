@@ -196,48 +196,68 @@ def join_tries(
     ``counts``, if given, gets the numbers of node pairs ``visited``, ``pruned`` for their bits, ``tied`` already, and ``leaves`` met.
     """
     label = np.arange(len(keys))
-    runs = np.arange(len(keys))
     selfs = middles == ends
-    todo = [(starts, middles, np.where(selfs, starts, middles), ends)]
+    lo, hi, bit, child = trie_nodes(keys, np.r_[starts, middles[~selfs]], np.r_[middles, ends[~selfs]])
+    second = np.arange(len(starts))
+    second[~selfs] = len(starts) + np.arange((~selfs).sum())
+    head, leaf = keys[lo], bit == 0
+    read = ~np.where(leaf, np.uint64(0), (bit << np.uint64(1)) - np.uint64(1))  # the bits that all leaves of a node share
+    whole = np.where(hi - lo == 1, lo, -1)  # the label of a node whose leaves are all connected, else -1
+    todo = [(np.arange(len(starts)), second)]
     count = counts if counts is not None else {}
     while todo:
-        a_lo, a_hi, b_lo, b_hi = todo.pop()
-        if len(a_lo) > FRONTIER:
-            todo += [tuple(x[i : i + FRONTIER] for x in (a_lo, a_hi, b_lo, b_hi)) for i in range(0, len(a_lo), FRONTIER)]
+        a, b = todo.pop()
+        if len(a) > FRONTIER:
+            todo += [(a[i : i + FRONTIER], b[i : i + FRONTIER]) for i in range(0, len(a), FRONTIER)]
             continue
-        same = a_lo == b_lo
-        a_bit, b_bit = _highest(keys[a_lo] ^ keys[a_hi - 1]), _highest(keys[b_lo] ^ keys[b_hi - 1])
-        bit = np.maximum(a_bit, b_bit)
         # all that both nodes have read: the bits above the first one where either branches
-        read = ~np.where(bit == 0, np.uint64(0), (bit << np.uint64(1)) - np.uint64(1))
-        near = np.bitwise_count((keys[a_lo] ^ keys[b_lo]) & read) <= radius
-        tied = (runs[a_lo] == runs[a_hi - 1]) & (runs[b_lo] == runs[b_hi - 1]) & (label[a_lo] == label[b_lo])
-        leaf = bit == 0
-        for name, n in (("visited", len(near)), ("pruned", (~near).sum()), ("tied", (near & tied).sum()), ("leaves", (near & ~tied & leaf).sum())):
+        near = np.flatnonzero(np.bitwise_count((head[a] ^ head[b]) & read[a] & read[b]) <= radius)
+        visited, a, b = len(a), a[near], b[near]
+        tied = (whole[a] == whole[b]) & (whole[a] >= 0)
+        met = ~tied & leaf[a] & leaf[b]
+        for name, n in (("visited", visited), ("pruned", visited - len(near)), ("tied", tied.sum()), ("leaves", met.sum())):
             count[name] = count.get(name, 0) + int(n)
-        met = near & ~tied & leaf
         if met.any():
-            flip = met & (a_lo > b_lo)
-            a_lo[flip], a_hi[flip], b_lo[flip], b_hi[flip] = b_lo[flip], b_hi[flip], a_lo[flip], a_hi[flip]
-            fresh = _leaf_links(keys, a_lo[met], a_hi[met], b_lo[met], b_hi[met], radius, check, check_radius, label)
+            first, last = a[met], b[met]
+            flip = lo[first] > lo[last]
+            first[flip], last[flip] = last[flip], first[flip]
+            fresh = _leaf_links(keys, lo[first], hi[first], lo[last], hi[last], radius, check, check_radius, label)
             if fresh is not label:
                 label = fresh
                 runs = np.r_[0, np.cumsum(label[1:] != label[:-1])]
-        deep = near & ~tied & ~leaf
-        a_lo, a_hi, b_lo, b_hi, a_bit, b_bit, same = (x[deep] for x in (a_lo, a_hi, b_lo, b_hi, a_bit, b_bit, same))
-        if not len(a_lo):
+                whole = np.where(runs[lo] == runs[hi - 1], label[lo], -1)
+        deep = ~tied & ~met
+        a, b = a[deep], b[deep]
+        if not len(a):
             continue
-        split_a = a_bit >= b_bit
-        lo, hi = np.where(split_a, a_lo, b_lo), np.where(split_a, a_hi, b_hi)
-        mid = _child(keys, lo, hi, np.where(split_a, a_bit, b_bit))
-        one, two = same, ~same
-        other_lo, other_hi = np.where(split_a, b_lo, a_lo)[two], np.where(split_a, b_hi, a_hi)[two]
+        same = a == b
+        one, two = child[a[same]], ~same
+        split_a = bit[a[two]] >= bit[b[two]]
+        split, other = child[np.where(split_a, a[two], b[two])], np.where(split_a, b[two], a[two])
         # two nodes: the children of the one that branches first with the other; a node with itself: its children with each other and, walked first, with themselves
-        pairs = ((lo[two], mid[two], other_lo, other_hi), (mid[two], hi[two], other_lo, other_hi), (lo[one], mid[one], mid[one], hi[one]), (lo[one], mid[one], lo[one], mid[one]), (mid[one], hi[one], mid[one], hi[one]))
+        pairs = ((split, other), (split + 1, other), (one, one + 1), (one, one), (one + 1, one + 1))
         todo.append(tuple(np.concatenate(x) for x in zip(*pairs, strict=True)))
     return label
 
 
+def trie_nodes(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(lo, hi, bit, child)`` of all nodes of the tries over ranges of ascending keys, whose roots come first.
+
+    ``bit``: the highest one in which a node's leaves differ, 0 for a leaf (of equal keys). ``child``: its 0-child; the 1-child is the next node.
+    """
+    levels, made = [], 0
+    while len(lo):
+        bit = _highest(keys[lo] ^ keys[hi - 1])
+        inner = bit != 0
+        made += len(lo)
+        child = np.where(inner, made + 2 * (np.cumsum(inner) - 1), -1)
+        levels.append((lo, hi, bit, child))
+        lo, hi = lo[inner], hi[inner]
+        mid = _child(keys, lo, hi, bit[inner])
+        lo, hi = np.stack([lo, mid], axis=1).ravel(), np.stack([mid, hi], axis=1).ravel()
+    return tuple(np.concatenate(x) for x in zip(*levels, strict=True)) if levels else (lo, hi, keys[:0], lo)
+
+
 def _highest(x: np.ndarray) -> np.ndarray:
     """The highest set bit of each number, alone; 0 for 0."""
     for shift in (1, 2, 4, 8, 16, 32):
